@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
+from threading import Lock
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -134,30 +136,34 @@ class Pipeline:
         self.config = config or LayerConfig()
         self.store = store
         self.landed = frozenset(landed)
-        self._tables: dict[str, DataFrame] = {}
+        self._lock = Lock()
+        self._tables: dict[str, Future[DataFrame]] = {}
 
     def bronze(self, name: str) -> DataFrame:
         """A raw table; those named ``landed`` are kept in the store like built ones."""
-        key = f"bronze.{name}"
-        if key not in self._tables:
-            frame = self.source.table(name)
-            if self.store and name in self.landed:
-                frame = self.store.save(key, frame)
-            self._tables[key] = frame
-        return self._tables[key]
+        store = self.store if name in self.landed else None
+        return self._once(f"bronze.{name}", lambda: self.source.table(name), store)
 
     def silver(self, name: str) -> DataFrame:
-        return self._built("silver", name)
+        return self._once(f"silver.{name}", lambda: self.frame("silver", name), self.store)
 
     def gold(self, name: str) -> DataFrame:
-        return self._built("gold", name)
-
-    def _built(self, layer: str, name: str) -> DataFrame:
-        key = f"{layer}.{name}"
-        if key not in self._tables:
-            frame = self.frame(layer, name)
-            self._tables[key] = self.store.save(key, frame) if self.store else frame
-        return self._tables[key]
+        return self._once(f"gold.{name}", lambda: self.frame("gold", name), self.store)
+
+    def _once(self, key: str, make: Callable[[], DataFrame], store: Store | None) -> DataFrame:
+        """Make a table on first use, by whichever thread asks first."""
+        with self._lock:
+            mine = key not in self._tables
+            table = self._tables.setdefault(key, Future())
+        if mine:
+            try:
+                frame = make()
+                table.set_result(store.save(key, frame) if store else frame)
+            except BaseException as error:
+                with self._lock:
+                    del self._tables[key]
+                table.set_exception(error)
+        return table.result()
 
     def frame(self, layer: str, name: str) -> DataFrame:
         """The lazy plan of one table over its stored inputs, checks included."""
@@ -179,25 +185,28 @@ class Pipeline:
     def status_changes(self) -> DataFrame:
         return facts.status_changes(self.silver("issue_field_history"), self.config)
 
-    def build(self, layers: Iterable[str] = ("silver", "gold")) -> list[str]:
-        """Write every table of the layers; returns their names."""
-        built = []
-        for layer in layers:
-            for name in SILVER if layer == "silver" else GOLD:
-                self._built(layer, name)
-                built.append(f"{layer}.{name}")
-        return built
+    def build(self, layers: Iterable[str] = ("silver", "gold"), parallel: int = 8) -> list[str]:
+        """Make every table of the layers; returns their names.
+
+        Many tables are small, so several are written at a time; a table waits
+        for its inputs where it asks for them.
+        """
+        makers = {"silver": (self.silver, SILVER), "gold": (self.gold, GOLD)}
+        jobs = [(layer, name) for layer in layers for name in makers[layer][1]]
+        with ThreadPoolExecutor(parallel) as pool:
+            list(pool.map(lambda job: makers[job[0]][0](job[1]), jobs))
+        return [f"{layer}.{name}" for layer, name in jobs]
 
     def row_counts(self) -> DataFrame:
         """Rows per silver and gold table."""
-
-        def counted(layer: str, name: str) -> DataFrame:
-            return self._built(layer, name).agg(
-                F.lit(f"{layer}.{name}").alias("table_name"), F.count(F.lit(1)).alias("rows")
-            )
-
+        self.build()
+        tables = {f"silver.{name}": self.silver(name) for name in SILVER}
+        tables |= {f"gold.{name}": self.gold(name) for name in GOLD}
         return union_all(
-            [counted("silver", name) for name in SILVER] + [counted("gold", name) for name in GOLD]
+            [
+                frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+                for name, frame in tables.items()
+            ]
         )
 
     def audit(self, action: str | None = None) -> DataFrame:

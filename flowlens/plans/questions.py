@@ -211,6 +211,7 @@ def average_in_status(layer: MetricLayer, status: str = "In Review") -> DataFram
     )
 
 
+# Questions that need no argument; ``median_cycle_monthly`` asks for a project.
 QUESTIONS: dict[str, Callable[[MetricLayer], DataFrame]] = {
     "q_open_critical": open_critical,
     "q_velocity_last5": velocity_last_sprints,
@@ -224,7 +225,6 @@ QUESTIONS: dict[str, Callable[[MetricLayer], DataFrame]] = {
     "q_wip_unassigned": wip_unassigned,
     "q_growing_backlog": growing_backlog,
     "q_top_resolvers": top_resolvers,
-    "q_median_cycle_monthly": lambda layer: median_cycle_monthly(layer, "NATION_3"),
     "q_oldest_bugs": oldest_bugs,
     "q_avg_in_review": average_in_status,
     "q_quarter_points": quarter_points,

@@ -8,7 +8,7 @@ as well, so all tables grow with it.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +63,7 @@ class SampleSource:
     def table(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}_table")()
 
+    @cache  # noqa: B019 - one schema lookup per file, kept as long as the source
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

@@ -16,7 +16,7 @@ from flowlens.operators.expectations import union_all
 from flowlens.plans import gadgets
 from flowlens.plans.datasets import DATASETS
 from flowlens.plans.pipeline import GOLD, SILVER, Pipeline
-from flowlens.plans.questions import QUESTIONS
+from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
 from flowlens.session import configure, shared_folder
 from flowlens.sources.columns import parse_target, project
@@ -58,7 +58,7 @@ def comparable(frame: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DoubleType):
             column = F.round(column, 6)
         elif isinstance(field.dataType, T.ArrayType):
-            column = F.concat_ws(",", column)
+            column = F.when(column.isNotNull(), F.concat_ws(",", column))
         return column.alias(field.name)
 
     return frame.select(*[shown(field) for field in frame.schema])
@@ -76,12 +76,12 @@ def _gold_table(name: str) -> LayerQuery:
     return lambda layer: layer.pipeline.frame("gold", name)
 
 
-def _by_field(view: str, field: str) -> LayerQuery:
-    """All measures of a view by one field."""
+def _by_fields(view: str, *fields: str) -> LayerQuery:
+    """All measures of a view at one grain."""
 
     def build(layer: MetricLayer) -> DataFrame:
         bound = layer.view(view)
-        return bound.query([field], [measure.name for measure in bound.view.measures])
+        return bound.query(fields, [measure.name for measure in bound.view.measures])
 
     return build
 
@@ -183,12 +183,11 @@ def _age_histogram(layer: MetricLayer) -> DataFrame:
 
 
 def _grain_check(layer: MetricLayer) -> DataFrame:
-    """Copies of issue ids by how often they occur, and the ids behind them."""
+    """How many issue ids occur more than once, and the rows they take up."""
     rows = layer.pipeline.gold("fct_issue")
-    repeated = facts.grain_check(rows).agg(
+    return facts.grain_check(rows).agg(
         F.count("*").alias("repeated_ids"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")
     )
-    return repeated
 
 
 def _join_pruning(layer: MetricLayer) -> DataFrame:
@@ -215,11 +214,12 @@ def _selector_values(layer: MetricLayer) -> DataFrame:
     return gadgets.selector_values(layer, "portfolio", "project_key")
 
 
-# Field to group each view's measures by, and the name of that query.
+# View and fields to group its measures by.  Percentiles are sketches that are
+# exact up to some ten thousand values, so transitions are split by project too.
 GRAINS = {
     "metric_issue_by_project": ("issue", "Project Key"),
     "metric_sprint_velocity_by_project": ("sprint_velocity", "Project Key"),
-    "metric_transitions_by_status": ("issue_transitions", "To Status"),
+    "metric_transitions_by_status": ("issue_transitions", "Project Name", "To Status"),
     "metric_worklog_by_author": ("worklog", "Author"),
     "metric_project_health_all": ("project_health", "Project Category"),
     "metric_assignee_load_by_bucket": ("assignee_load", "Age Bucket"),
@@ -260,7 +260,7 @@ def _build() -> dict[str, Query]:
     }
     found |= {f"silver_{name}": _silver_table(name) for name in SILVER}
     found |= {name: _gold_table(name) for name in GOLD}
-    found |= {name: _by_field(*grain) for name, grain in GRAINS.items()}
+    found |= {name: _by_fields(*grain) for name, grain in GRAINS.items()}
     found |= {f"metric_{view}_rows": _all_rows(view) for view in VIEWS}
     found |= DATASETS
     found |= {
@@ -274,6 +274,7 @@ def _build() -> dict[str, Query]:
         name: lambda layer, name=name: gadgets.listing(layer, name) for name in gadgets.LISTINGS
     }
     found |= QUESTIONS
+    found["q_median_cycle_monthly"] = lambda layer: median_cycle_monthly(layer, "NATION_3")
     return {name: _over(build) for name, build in found.items()}
 
 
