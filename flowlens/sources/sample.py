@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 # The moment the sample is looked at: one day after the last order.
 SAMPLE_AS_OF = "2001-08-02 00:00:00"
 
-# Raw tables that are costly to derive and read by many.
-COSTLY = ("issues", "sprints", "version")
+# Raw tables to land before use: those costly to derive, and the lookups, so
+# that the planner knows how small they are and broadcasts them.
+LANDED = (
+    "issues sprints version projects status status_category priority issue_types resolutions "
+    "issue_fields"
+).split()
 
 FIRST_YEAR = 1995
 
@@ -290,20 +294,22 @@ class SampleSource:
             F.min("l_linenumber").alias("line"), F.min("l_suppkey").alias("supplier")
         )
 
-        def values(rows: DataFrame, field: str, value: Column) -> DataFrame:
+        def values(rows: DataFrame, **fields: Column) -> DataFrame:
+            entries = [
+                F.struct(F.lit(field).alias("field_id"), value.cast("string").alias("field_value"))
+                for field, value in fields.items()
+            ]
             return rows.select(
                 F.col("l_orderkey").alias("issue_id"),
-                F.lit(field).alias("field_id"),
-                value.cast("string").alias("field_value"),
                 F.col("l_shipdate").alias("updated_at"),
-            )
+                F.explode(F.array(*entries)).alias("entry"),
+            ).select("issue_id", "entry.*", "updated_at")
 
-        return (
-            values(changes, "status", F.col("line") % 4 + 1)
-            .unionByName(values(changes, "assignee", _text("S", "supplier")))
-            .unionByName(values(self._lines, "labels", F.col("l_returnflag")))
-            .unionByName(values(self._lines, "components", F.col("component_id")))
+        single = values(changes, status=F.col("line") % 4 + 1, assignee=_text("S", "supplier"))
+        several = values(
+            self._lines, labels=F.col("l_returnflag"), components=F.col("component_id")
         )
+        return single.unionByName(several)
 
     def _issue_worklogs_table(self) -> DataFrame:
         return self._lines.select(

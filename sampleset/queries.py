@@ -20,7 +20,7 @@ from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
 from flowlens.session import configure, shared_folder
 from flowlens.sources.columns import parse_target, project
-from flowlens.sources.sample import COSTLY, SAMPLE_AS_OF, SampleSource
+from flowlens.sources.sample import LANDED, SAMPLE_AS_OF, SampleSource
 from flowlens.sources.sinks import FolderStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
         root = f"{shared_folder(spark)}/flowlens-{uuid.uuid4().hex}"
         source = SampleSource(spark, folder)
         pipeline = Pipeline(
-            source, LayerConfig(as_of=SAMPLE_AS_OF), FolderStore(spark, root), landed=COSTLY
+            source, LayerConfig(as_of=SAMPLE_AS_OF), FolderStore(spark, root), landed=LANDED
         )
         source.issues = lambda: pipeline.bronze("issues")
         _workspaces[key] = MetricLayer(pipeline)
@@ -172,8 +172,13 @@ def _dropped_links(layer: MetricLayer) -> DataFrame:
 
 
 def _issue_times(layer: MetricLayer) -> DataFrame:
-    return layer.pipeline.frame("gold", "fct_issue").select(
-        "issue_id", "is_resolved", "cycle_time_days", "lead_time_days", "age_days"
+    p = layer.pipeline
+    started = p.first_in_progress().select(
+        F.col("issue_id").alias("id"), F.col("started_at").alias("first_in_progress_at")
+    )
+    issues = p.silver("issue").select("id", "created_at", "resolved_at").join(started, "id", "left")
+    return facts.issue_times(issues, p.config).select(
+        F.col("id").alias("issue_id"), "is_resolved", "cycle_time_days", "lead_time_days", "age_days"
     )
 
 
