@@ -135,7 +135,7 @@ class Pipeline:
         self.source = source
         self.config = config or LayerConfig()
         self.store = store
-        self.landed = frozenset(landed)
+        self.landed = tuple(landed)
         self._lock = Lock()
         self._tables: dict[str, Future[DataFrame]] = {}
 
@@ -191,11 +191,12 @@ class Pipeline:
         Many tables are small, so several are written at a time; a table waits
         for its inputs where it asks for them.
         """
-        makers = {"silver": (self.silver, SILVER), "gold": (self.gold, GOLD)}
-        jobs = [(layer, name) for layer in layers for name in makers[layer][1]]
+        makers = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
+        names = {"bronze": self.landed, "silver": SILVER, "gold": GOLD}
+        jobs = [(layer, name) for layer in ("bronze", *layers) for name in names[layer]]
         with ThreadPoolExecutor(parallel) as pool:
-            list(pool.map(lambda job: makers[job[0]][0](job[1]), jobs))
-        return [f"{layer}.{name}" for layer, name in jobs]
+            list(pool.map(lambda job: makers[job[0]](job[1]), jobs))
+        return [f"{layer}.{name}" for layer, name in jobs if layer != "bronze"]
 
     def row_counts(self) -> DataFrame:
         """Rows per silver and gold table."""

@@ -11,38 +11,23 @@ import time
 from pathlib import Path
 
 import duckdb
-import pandas as pd
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from pyspark.sql import SparkSession  # noqa: E402
-
+from sampleset.compare import differences  # noqa: E402
 from sampleset.oracle import ORACLE  # noqa: E402
 from sampleset.queries import QUERIES  # noqa: E402
 
-ARROW_KINDS = {"large_string": "string", "string_view": "string"}
-
-
-def kind(arrow_type) -> str:
-    name = str(arrow_type)
-    if name.startswith("timestamp"):
-        return "timestamp"
-    return ARROW_KINDS.get(name, name)
-
-
-def shown(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return "NULL"
-    if isinstance(value, float):
-        return f"{value:.9g}" if value != int(value) else str(int(value))
-    if hasattr(value, "tzinfo") and value.tzinfo is not None:
-        value = value.replace(tzinfo=None)
-    return str(value)
-
 
-def lines(table) -> list[tuple[str, ...]]:
-    columns = [table.column(name).to_pylist() for name in sorted(table.column_names)]
-    return sorted(tuple(shown(value) for value in row) for row in zip(*columns))
+def check(spark: SparkSession, duck: duckdb.DuckDBPyConnection, folder: str, name: str) -> str:
+    start = time.time()
+    ours = QUERIES[name](spark, folder).toArrow()
+    seconds = f"{time.time() - start:6.2f}s"
+    if name not in ORACLE:
+        return f"rows {ours.num_rows:7d} {seconds}  no SQL"
+    found = differences(ours, duck.sql(ORACLE[name]).to_arrow_table())
+    return f"rows {ours.num_rows:7d} {seconds}  {'; '.join(found) or 'ok'}"
 
 
 def main() -> int:
@@ -50,7 +35,6 @@ def main() -> int:
     spark = (
         SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -62,38 +46,12 @@ def main() -> int:
         duck.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     failed = []
     for name in names or QUERIES:
-        start = time.time()
         try:
-            ours = QUERIES[name](spark, folder).toArrow()
-            spent = time.time() - start
-            if name not in ORACLE:
-                print(f"{name:40s} rows {ours.num_rows:7d} {spent:6.2f}s  no SQL", flush=True)
-                failed.append(name)
-                continue
-            start = time.time()
-            theirs = duck.sql(ORACLE[name]).to_arrow_table()
-            theirs_spent = time.time() - start
-            problems = []
-            kinds = {field.name: kind(field.type) for field in ours.schema}
-            other = {field.name: kind(field.type) for field in theirs.schema}
-            if kinds != other:
-                problems.append(f"schema {set(kinds.items()) ^ set(other.items())}")
-            if ours.num_rows != theirs.num_rows:
-                problems.append(f"rows {ours.num_rows} vs {theirs.num_rows}")
-            elif set(kinds) == set(other):
-                mine, sql = lines(ours), lines(theirs)
-                apart = [(a, b) for a, b in zip(mine, sql) if a != b]
-                if apart:
-                    problems.append(f"{len(apart)} rows differ, first {apart[0]}")
-            state = "ok" if not problems else "DIFF " + "; ".join(problems)
-            print(
-                f"{name:40s} rows {ours.num_rows:7d} {spent:6.2f}s / {theirs_spent:5.2f}s {state}",
-                flush=True,
-            )
-        except Exception as error:  # noqa: BLE001 - report and go on with the next query
-            state = "error"
-            print(f"{name:40s} ERROR {str(error)[:600]}", flush=True)
-        if state != "ok":
+            outcome = check(spark, duck, folder, name)
+        except Exception as error:  # noqa: BLE001 - report it and go on with the next query
+            outcome = f"ERROR {str(error)[:600]}"
+        print(f"{name:36s} {outcome}", flush=True)
+        if not outcome.endswith("ok"):
             failed.append(name)
     print(f"{len(failed)} failed: {failed}")
     return 1 if failed else 0
