@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from flowlens.config import LayerConfig
 
@@ -15,6 +15,10 @@ CLUSTERED = {
     "silver.issue_multiselect_history": "field_id",
 }
 
+# Tables split into folders by a column of few values that many readers filter on:
+# reports on open issues skip the resolved ones, which are most of a long history.
+PARTITIONED = {"gold.fct_issue": "is_resolved"}
+
 # Tables with few rows per issue: bucketing them alike on the issue saves the
 # shuffles of their joins.  History and worklog are left out, as one busy issue
 # would make one bucket, and with it one task, far larger than the others.
@@ -26,9 +30,10 @@ ISSUE_KEYED = {
 }
 
 
-def _arranged(name: str, frame: DataFrame) -> DataFrame:
+def _writer(name: str, frame: DataFrame) -> DataFrameWriter:
     column = CLUSTERED.get(name)
-    return frame.sortWithinPartitions(column) if column else frame
+    writer = (frame.sortWithinPartitions(column) if column else frame).write.mode("overwrite")
+    return writer.partitionBy(PARTITIONED[name]) if name in PARTITIONED else writer
 
 
 @dataclass(frozen=True)
@@ -40,8 +45,8 @@ class FolderStore:
 
     def save(self, name: str, frame: DataFrame) -> DataFrame:
         path = f"{self.root}/{name.replace('.', '/')}"
-        _arranged(name, frame).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
+        _writer(name, frame).parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
 @dataclass(frozen=True)
@@ -58,9 +63,9 @@ class CatalogStore:
         key = ISSUE_KEYED.get(name)
         if self.buckets and key:
             spread = frame.repartition(self.buckets, key)
-            writer = spread.write.bucketBy(self.buckets, key).sortBy(key)
+            writer = _writer(name, spread).bucketBy(self.buckets, key).sortBy(key)
         else:
-            writer = _arranged(name, frame).write
-        writer.mode("overwrite").saveAsTable(target)
+            writer = _writer(name, frame)
+        writer.saveAsTable(target)
         self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('quality' = '{layer}')")
-        return self.spark.read.table(target)
+        return self.spark.read.table(target).select(*frame.columns)

@@ -1151,6 +1151,23 @@ SELECT assignee_name AS "Assignee", CAST(sum(open_now) AS BIGINT) AS open_now,
 FROM v_team GROUP BY assignee_name HAVING sum(open_now) > 0"""
 
 
+# Date columns, which the registered queries show as text.
+DATES = {
+    "silver_issue": ("due_date",),
+    "silver_version": ("release_date", "start_date"),
+    "dim_date": ("date_key",),
+    "fct_issue": ("due_date",),
+    "fct_worklog": ("work_date",),
+    "created_resolved_daily": ("flow_date",),
+    "metric_issue_rows": ("Created Date", "Resolved Date", "Due Date"),
+    "metric_worklog_rows": ("Work Date",),
+    "metric_flow_rows": ("Flow Date",),
+}
+for _name, _columns in DATES.items():
+    _texts = ", ".join(f'CAST("{column}" AS VARCHAR) AS "{column}"' for column in _columns)
+    QUERIES[_name] = f"SELECT * REPLACE ({_texts}) FROM ({QUERIES[_name].strip()})"
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the tables a query reads, in the order they are defined."""
     found: set[str] = set()

@@ -49,7 +49,7 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
 
 
 def comparable(frame: DataFrame) -> DataFrame:
-    """Types both engines print alike: decimals and doubles to six digits, lists as text."""
+    """Types every engine prints alike: numbers to six digits, dates and lists as text."""
 
     def shown(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
@@ -57,6 +57,8 @@ def comparable(frame: DataFrame) -> DataFrame:
             column = F.round(column, 6).cast("double")
         elif isinstance(field.dataType, T.DoubleType):
             column = F.round(column, 6)
+        elif isinstance(field.dataType, T.DateType):
+            column = column.cast("string")
         elif isinstance(field.dataType, T.ArrayType):
             column = F.when(column.isNotNull(), F.concat_ws(",", column))
         return column.alias(field.name)
