@@ -67,8 +67,7 @@ def issue_times(issues: DataFrame, config: LayerConfig) -> DataFrame:
     Needs ``created_at``, ``resolved_at`` and ``first_in_progress_at``.
     """
     resolved = F.col("resolved_at").isNotNull()
-    age = elapsed_days(F.col("created_at"), config.now())
-    return issues.withColumns(
+    timed = issues.withColumns(
         {
             "is_resolved": resolved,
             "cycle_time_days": F.when(
@@ -77,10 +76,10 @@ def issue_times(issues: DataFrame, config: LayerConfig) -> DataFrame:
             "lead_time_days": F.when(
                 resolved, elapsed_days(F.col("created_at"), F.col("resolved_at"))
             ),
-            "age_days": F.when(~resolved, age),
-            "age_bucket": F.when(~resolved, bucket(age, AGE_BUCKETS)),
+            "age_days": F.when(~resolved, elapsed_days(F.col("created_at"), config.now())),
         }
     )
+    return timed.withColumn("age_bucket", F.when(~resolved, bucket(F.col("age_days"), AGE_BUCKETS)))
 
 
 def _lookup(frame: DataFrame, key: str, **columns: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 from threading import Lock
 from typing import Protocol
 
@@ -24,97 +25,102 @@ class Store(Protocol):
     def save(self, name: str, frame: DataFrame) -> DataFrame: ...
 
 
-Builder = Callable[["Pipeline"], DataFrame]
+@dataclass(frozen=True)
+class Node:
+    """How a table is made: a function of its inputs and, if it asks, the settings."""
 
+    build: Callable[..., DataFrame]
+    needs: tuple[str, ...]
+    configured: bool = False
 
-def _silver() -> dict[str, Builder]:
-    def projected(name: str) -> Builder:
-        projection = PROJECTIONS[name]
-        return lambda p: projection.build(p.bronze(projection.source))
 
-    return {
-        **{name: projected(name) for name in PROJECTIONS},
-        "issue": lambda p: entities.issue(
-            p.bronze("issues"),
-            p.bronze("projects"),
-            p.bronze("status"),
-            p.bronze("priority"),
-            p.bronze("issue_types"),
-            p.bronze("resolutions"),
-        ),
-        "status": lambda p: entities.status(p.bronze("status"), p.bronze("status_category")),
-        "status_category": lambda p: entities.status_category(p.bronze("status_category")),
-        "issue_field_history": lambda p: history.single_value_history(
-            p.bronze("issue_field_values"), p.bronze("issue_fields")
-        ),
-        "issue_multiselect_history": lambda p: history.multi_value_history(
-            p.bronze("issue_field_values"), p.bronze("issue_fields")
-        ),
-        "issue_link": lambda p: bridges.issue_link(p.bronze("issue_links")),
-        "sprint_issue": lambda p: bridges.sprint_issue(p.bronze("issues")),
-        "epic_issue": lambda p: bridges.epic_issue(
-            p.bronze("issues"), p.bronze("issue_types"), p.config.epic_issue_type_name
-        ),
-        "issue_component": lambda p: bridges.issue_component(
-            p.bronze("issues"), p.silver("component")
-        ),
-        "issue_version": lambda p: bridges.issue_version(p.bronze("issues"), p.silver("version")),
-    }
+def node(build: Callable[..., DataFrame], needs: str, configured: bool = False) -> Node:
+    return Node(build, tuple(needs.split()), configured)
 
 
-def _gold() -> dict[str, Builder]:
-    return {
-        "dim_user": lambda p: dimensions.dim_user(p.silver("user"), p.silver("user_group")),
-        "dim_project": lambda p: dimensions.dim_project(
-            p.silver("project"), p.silver("project_category"), p.silver("user"), p.silver("issue")
-        ),
-        "dim_status": lambda p: dimensions.dim_status(
-            p.silver("status"), p.silver("status_category")
-        ),
-        "dim_sprint": lambda p: dimensions.dim_sprint(p.silver("sprint"), p.silver("board")),
-        "dim_date": lambda p: dimensions.dim_date(p.silver("issue"), p.config),
-        "fct_issue": lambda p: facts.fct_issue(
-            issues=p.silver("issue"),
-            projects=p.silver("project"),
-            issue_types=p.silver("issue_type"),
-            dim_status=p.gold("dim_status"),
-            priorities=p.silver("priority"),
-            resolutions=p.silver("resolution"),
-            users=p.silver("user"),
-            epics=p.silver("epic_issue"),
-            sprint_of_issue=p.current_sprint(),
-            dim_sprint=p.gold("dim_sprint"),
-            started=p.first_in_progress(),
-            config=p.config,
-        ),
-        "fct_issue_transitions": lambda p: facts.fct_issue_transitions(
-            p.status_changes(), p.silver("issue"), p.silver("status"), p.silver("status_category")
-        ),
-        "fct_sprint_velocity": lambda p: facts.fct_sprint_velocity(
-            p.silver("sprint_issue"),
-            p.silver("sprint"),
-            p.silver("issue"),
-            p.silver("board"),
-            p.silver("project"),
-        ),
-        "fct_worklog": lambda p: facts.fct_worklog(
-            p.silver("issue_worklog"), p.silver("issue"), p.silver("project"), p.silver("user")
-        ),
-        "agg_assignee_load": lambda p: aggregates.agg_assignee_load(p.gold("fct_issue")),
-        "agg_project_health": lambda p: aggregates.agg_project_health(
-            p.gold("fct_issue"), p.config
-        ),
-        "agg_team_productivity": lambda p: aggregates.agg_team_productivity(
-            p.gold("fct_issue"), p.config
+def _silver() -> dict[str, Node]:
+    projected = {
+        name: node(projection.build, f"bronze.{projection.source}")
+        for name, projection in PROJECTIONS.items()
+    }
+    values = "bronze.issue_field_values bronze.issue_fields"
+    return projected | {
+        "issue": node(
+            entities.issue,
+            "bronze.issues bronze.projects bronze.status bronze.priority bronze.issue_types "
+            "bronze.resolutions",
         ),
-        "agg_time_in_status": lambda p: aggregates.agg_time_in_status(
-            p.gold("fct_issue_transitions"), p.silver("project")
+        "status": node(entities.status, "bronze.status bronze.status_category"),
+        "status_category": node(entities.status_category, "bronze.status_category"),
+        "issue_field_history": node(history.single_value_history, values),
+        "issue_multiselect_history": node(history.multi_value_history, values),
+        "issue_link": node(bridges.issue_link, "bronze.issue_links"),
+        "sprint_issue": node(bridges.sprint_issue, "bronze.issues"),
+        "epic_issue": node(
+            lambda issues, types, config: bridges.epic_issue(
+                issues, types, config.epic_issue_type_name
+            ),
+            "bronze.issues bronze.issue_types",
+            configured=True,
         ),
+        "issue_component": node(bridges.issue_component, "bronze.issues silver.component"),
+        "issue_version": node(bridges.issue_version, "bronze.issues silver.version"),
     }
 
 
 SILVER = _silver()
-GOLD = _gold()
+
+# Plans that gold tables share but that are not kept as tables.
+STEPS = {
+    "first_in_progress": node(
+        facts.first_in_progress,
+        "silver.issue_field_history silver.status silver.status_category",
+        configured=True,
+    ),
+    "current_sprint": node(facts.current_sprint, "silver.sprint_issue silver.sprint"),
+    "status_changes": node(facts.status_changes, "silver.issue_field_history", configured=True),
+}
+
+GOLD = {
+    "dim_user": node(dimensions.dim_user, "silver.user silver.user_group"),
+    "dim_project": node(
+        dimensions.dim_project, "silver.project silver.project_category silver.user silver.issue"
+    ),
+    "dim_status": node(dimensions.dim_status, "silver.status silver.status_category"),
+    "dim_sprint": node(dimensions.dim_sprint, "silver.sprint silver.board"),
+    "dim_date": node(dimensions.dim_date, "silver.issue", configured=True),
+    "fct_issue": node(
+        facts.fct_issue,
+        "silver.issue silver.project silver.issue_type gold.dim_status silver.priority "
+        "silver.resolution silver.user silver.epic_issue step.current_sprint gold.dim_sprint "
+        "step.first_in_progress",
+        configured=True,
+    ),
+    "fct_issue_transitions": node(
+        facts.fct_issue_transitions,
+        "step.status_changes silver.issue silver.status silver.status_category",
+    ),
+    "fct_sprint_velocity": node(
+        facts.fct_sprint_velocity,
+        "silver.sprint_issue silver.sprint silver.issue silver.board silver.project",
+    ),
+    "fct_worklog": node(
+        facts.fct_worklog, "silver.issue_worklog silver.issue silver.project silver.user"
+    ),
+    "agg_assignee_load": node(aggregates.agg_assignee_load, "gold.fct_issue"),
+    "agg_project_health": node(aggregates.agg_project_health, "gold.fct_issue", configured=True),
+    "agg_team_productivity": node(
+        aggregates.agg_team_productivity, "gold.fct_issue", configured=True
+    ),
+    "agg_time_in_status": node(
+        aggregates.agg_time_in_status, "gold.fct_issue_transitions silver.project"
+    ),
+}
+
+# Tables written at a time by one request.
+SIDE_BY_SIDE = 8
+
+LAYERS = {"silver": SILVER, "step": STEPS, "gold": GOLD}
 
 
 class Pipeline:
@@ -140,81 +146,87 @@ class Pipeline:
         self._tables: dict[str, Future[DataFrame]] = {}
 
     def bronze(self, name: str) -> DataFrame:
-        """A raw table; those named ``landed`` are kept in the store like built ones."""
-        store = self.store if name in self.landed else None
-        return self._once(f"bronze.{name}", lambda: self.source.table(name), store)
+        return self.table(f"bronze.{name}")
 
     def silver(self, name: str) -> DataFrame:
-        return self._once(f"silver.{name}", lambda: self.frame("silver", name), self.store)
+        return self.table(f"silver.{name}")
 
     def gold(self, name: str) -> DataFrame:
-        return self._once(f"gold.{name}", lambda: self.frame("gold", name), self.store)
+        return self.table(f"gold.{name}")
 
-    def _once(self, key: str, make: Callable[[], DataFrame], store: Store | None) -> DataFrame:
-        """Make a table on first use, by whichever thread asks first."""
+    def table(self, key: str) -> DataFrame:
+        """A table by ``layer.name``, made on first use by whichever thread asks first."""
         with self._lock:
             mine = key not in self._tables
             table = self._tables.setdefault(key, Future())
         if mine:
             try:
-                frame = make()
-                table.set_result(store.save(key, frame) if store else frame)
+                frame = self.frame(key)
+                table.set_result(self.store.save(key, frame) if self._kept(key) else frame)
             except BaseException as error:
                 with self._lock:
                     del self._tables[key]
                 table.set_exception(error)
         return table.result()
 
-    def frame(self, layer: str, name: str) -> DataFrame:
-        """The lazy plan of one table over its stored inputs, checks included."""
-        if layer == "silver":
-            return enforce(SILVER[name](self), name, EXPECTATIONS.get(name, ()))
-        return GOLD[name](self)
-
-    def first_in_progress(self) -> DataFrame:
-        return facts.first_in_progress(
-            self.silver("issue_field_history"),
-            self.silver("status"),
-            self.silver("status_category"),
-            self.config,
+    def _kept(self, key: str) -> bool:
+        layer, name = key.split(".")
+        return self.store is not None and (
+            layer in ("silver", "gold") or (layer == "bronze" and name in self.landed)
         )
 
-    def current_sprint(self) -> DataFrame:
-        return facts.current_sprint(self.silver("sprint_issue"), self.silver("sprint"))
-
-    def status_changes(self) -> DataFrame:
-        return facts.status_changes(self.silver("issue_field_history"), self.config)
-
-    def build(self, layers: Iterable[str] = ("silver", "gold"), parallel: int = 8) -> list[str]:
-        """Make every table of the layers; returns their names.
-
-        Many tables are small, so several are written at a time; a table waits
-        for its inputs where it asks for them.
+    def frame(self, key: str, checked: bool = True) -> DataFrame:
+        """The lazy plan of one table over its inputs, with its row checks."""
+        layer, name = key.split(".")
+        if layer == "bronze":
+            return self.source.table(name)
+        made = LAYERS[layer][name]
+        inputs = self.tables(made.needs)
+        frame = made.build(*inputs, self.config) if made.configured else made.build(*inputs)
+        if layer == "silver" and checked:
+            frame = enforce(frame, name, EXPECTATIONS.get(name, ()))
+        return frame
+
+    def tables(self, keys: Iterable[str]) -> list[DataFrame]:
+        """Several tables; those to be written are written side by side.
+
+        Many tables are small, and a job of one leaves most of a cluster idle.
         """
-        makers = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
-        names = {"bronze": self.landed, "silver": SILVER, "gold": GOLD}
-        jobs = [(layer, name) for layer in ("bronze", *layers) for name in names[layer]]
-        with ThreadPoolExecutor(parallel) as pool:
-            list(pool.map(lambda job: makers[job[0]](job[1]), jobs))
-        return [f"{layer}.{name}" for layer, name in jobs if layer != "bronze"]
+        keys = list(keys)
+        if self.store is None or len(keys) < 2:
+            return [self.table(key) for key in keys]
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            return list(pool.map(self.table, keys))
+
+    def build(self, layers: Iterable[str] = ("silver", "gold")) -> list[str]:
+        """Make every table of the layers, raw tables to be landed first; returns their names."""
+        self.tables(f"bronze.{name}" for name in self.landed)
+        built = []
+        for layer in layers:
+            keys = [f"{layer}.{name}" for name in LAYERS[layer]]
+            self.tables(keys)
+            built += keys
+        return built
 
     def row_counts(self) -> DataFrame:
         """Rows per silver and gold table."""
-        self.build()
-        tables = {f"silver.{name}": self.silver(name) for name in SILVER}
-        tables |= {f"gold.{name}": self.gold(name) for name in GOLD}
         return union_all(
             [
-                frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-                for name, frame in tables.items()
+                self.table(key).agg(F.lit(key).alias("table_name"), F.count("*").alias("rows"))
+                for key in self.build()
             ]
         )
 
     def audit(self, action: str | None = None) -> DataFrame:
         """Passed and failed rows of every expectation, one scan per checked table."""
-        audits = []
-        for name, expectations in EXPECTATIONS.items():
-            wanted = [one for one in expectations if action in (None, one.action)]
-            if wanted:
-                audits.append(audit(SILVER[name](self), name, wanted))
-        return union_all(audits)
+        wanted = {
+            name: [one for one in expectations if action in (None, one.action)]
+            for name, expectations in EXPECTATIONS.items()
+        }
+        return union_all(
+            [
+                audit(self.frame(f"silver.{name}", checked=False), name, expectations)
+                for name, expectations in wanted.items()
+                if expectations
+            ]
+        )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,13 +19,35 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Shuffles start with one partition per this much input, read from compressed
+# columns that grow about threefold in memory; the adaptive planner merges the
+# small ones.  The upper limit keeps the bookkeeping of one shuffle in the driver.
+INPUT_PER_PARTITION = 48 * 1024**2
+MOST_PARTITIONS = 50_000
+
+
+def starting_partitions(input_bytes: int) -> int:
+    return min(MOST_PARTITIONS, math.ceil(input_bytes / INPUT_PER_PARTITION))
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the settings; large inputs raise the number of shuffle partitions."""
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    wanted = starting_partitions(input_bytes)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the files below a folder, from the file system's own listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(path).getLength()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 

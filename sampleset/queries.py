@@ -15,10 +15,10 @@ from flowlens.operators.entities import attach_by_id_or_name
 from flowlens.operators.expectations import union_all
 from flowlens.plans import gadgets
 from flowlens.plans.datasets import DATASETS
-from flowlens.plans.pipeline import GOLD, SILVER, Pipeline
+from flowlens.plans.pipeline import GOLD, SILVER, STEPS, Pipeline
 from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
-from flowlens.session import configure, shared_folder
+from flowlens.session import configure, folder_bytes, shared_folder
 from flowlens.sources.columns import parse_target, project
 from flowlens.sources.sample import LANDED, SAMPLE_AS_OF, SampleSource
 from flowlens.sources.sinks import FolderStore
@@ -37,7 +37,7 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
-        configure(spark)
+        configure(spark, folder_bytes(spark, folder))
         root = f"{shared_folder(spark)}/flowlens-{uuid.uuid4().hex}"
         source = SampleSource(spark, folder)
         pipeline = Pipeline(
@@ -71,11 +71,15 @@ def _over(build: LayerQuery) -> Query:
 
 
 def _silver_table(name: str) -> LayerQuery:
-    return lambda layer: layer.pipeline.frame("silver", name)
+    return lambda layer: layer.pipeline.frame(f"silver.{name}")
 
 
 def _gold_table(name: str) -> LayerQuery:
-    return lambda layer: layer.pipeline.frame("gold", name)
+    return lambda layer: layer.pipeline.frame(f"gold.{name}")
+
+
+def _step(name: str) -> LayerQuery:
+    return lambda layer: layer.pipeline.frame(f"step.{name}")
 
 
 def _by_fields(view: str, *fields: str) -> LayerQuery:
@@ -166,8 +170,8 @@ def _priority_or_join(layer: MetricLayer) -> DataFrame:
 def _dropped_links(layer: MetricLayer) -> DataFrame:
     """Links before and after the endpoint check, per link type."""
     p = layer.pipeline
-    before = SILVER["issue_link"](p).groupBy("link_type_id").agg(F.count("*").alias("landed"))
-    after = p.frame("silver", "issue_link").groupBy("link_type_id").agg(F.count("*").alias("kept"))
+    before = p.frame("silver.issue_link", checked=False).groupBy("link_type_id").agg(F.count("*").alias("landed"))
+    after = p.frame("silver.issue_link").groupBy("link_type_id").agg(F.count("*").alias("kept"))
     return before.join(after, "link_type_id", "left").select(
         "link_type_id", "landed", F.coalesce("kept", F.lit(0)).alias("kept")
     )
@@ -175,7 +179,7 @@ def _dropped_links(layer: MetricLayer) -> DataFrame:
 
 def _issue_times(layer: MetricLayer) -> DataFrame:
     p = layer.pipeline
-    started = p.first_in_progress().select(
+    started = p.table("step.first_in_progress").select(
         F.col("issue_id").alias("id"), F.col("started_at").alias("first_in_progress_at")
     )
     issues = p.silver("issue").select("id", "created_at", "resolved_at").join(started, "id", "left")
@@ -250,9 +254,6 @@ def _build() -> dict[str, Query]:
         "expect_drop_issue_link": _dropped_links,
         "expectation_audit": lambda layer: layer.pipeline.audit(),
         "silver_issue_priority_or_join": _priority_or_join,
-        "first_in_progress": lambda layer: layer.pipeline.first_in_progress(),
-        "current_sprint": lambda layer: layer.pipeline.current_sprint(),
-        "status_changes": lambda layer: layer.pipeline.status_changes(),
         "fct_issue_times": _issue_times,
         "age_bucket_histogram": _age_histogram,
         "fct_issue_grain_check": _grain_check,
@@ -266,6 +267,7 @@ def _build() -> dict[str, Query]:
         "check_open_by_priority": gadgets.check_open_by_priority,
     }
     found |= {f"silver_{name}": _silver_table(name) for name in SILVER}
+    found |= {name: _step(name) for name in STEPS}
     found |= {name: _gold_table(name) for name in GOLD}
     found |= {name: _by_fields(*grain) for name, grain in GRAINS.items()}
     found |= {f"metric_{view}_rows": _all_rows(view) for view in VIEWS}
