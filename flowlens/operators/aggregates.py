@@ -100,29 +100,27 @@ def agg_time_in_status(transitions: DataFrame, projects: DataFrame) -> DataFrame
     )
 
 
-def created_resolved_daily(facts: DataFrame) -> DataFrame:
+def created_resolved_daily(facts: DataFrame, first_day: Column | None = None) -> DataFrame:
     """Created and resolved issues and points per day and project.
 
     Both sides are reduced to one row per day and project before they meet; the
-    outer join matches null days and null projects as well.
+    outer join matches null days and null projects as well.  No filter gets past
+    an outer join, so readers of recent days give their ``first_day`` here and
+    older rows are skipped in both scans.
     """
     keys = ["flow_date", "project_id", "project_key", "project_name"]
 
     def per_day(rows: DataFrame, moment: str, prefix: str) -> DataFrame:
-        counted = (
-            rows.withColumn("flow_date", F.col(moment).cast("date"))
-            .groupBy(*keys)
-            .agg(
-                F.count(F.lit(1)).alias(f"{prefix}_issues"),
-                F.sum(F.coalesce("story_points", F.lit(0.0))).alias(f"{prefix}_points"),
-            )
+        rows = rows.withColumn("flow_date", F.col(moment).cast("date"))
+        if first_day is not None:
+            rows = rows.where(F.col("flow_date") >= first_day)
+        return rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(f"{prefix}_issues"),
+            F.sum(F.coalesce("story_points", F.lit(0.0))).alias(f"{prefix}_points"),
         )
-        return counted
 
     created = per_day(facts, "created_at", "created").alias("c")
-    resolved = per_day(
-        facts.where(F.col("resolved_at").isNotNull()), "resolved_at", "resolved"
-    ).alias("r")
+    resolved = per_day(facts.where("is_resolved"), "resolved_at", "resolved").alias("r")
     same = F.col("c.flow_date").eqNullSafe(F.col("r.flow_date")) & F.col(
         "c.project_id"
     ).eqNullSafe(F.col("r.project_id"))

@@ -224,11 +224,8 @@ def time_in_status(layer: MetricLayer) -> DataFrame:
 
 
 def _weekly_flow(layer: MetricLayer, measures: dict[str, str]) -> DataFrame:
-    first = layer.config.days_ago(FLOW_WINDOW_DAYS)
-    return layer.view("flow").query(
-        {"flow_week": "Flow Week", "project_key": "Project Key"},
-        measures,
-        where=lambda f: f("Flow Date") >= first,
+    return layer.flow_since(layer.config.days_ago(FLOW_WINDOW_DAYS)).query(
+        {"flow_week": "Flow Week", "project_key": "Project Key"}, measures
     )
 
 

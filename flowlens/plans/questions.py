@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.plans.datasets import FLOW_WINDOW_DAYS
 from flowlens.semantic.layer import MetricLayer
 
 TOP = 10
@@ -180,12 +181,8 @@ def age_distribution(layer: MetricLayer) -> DataFrame:
 
 
 def backlog_12w(layer: MetricLayer) -> DataFrame:
-    first = layer.config.days_ago(84)
-    return layer.view("flow").query(
-        ["Flow Week"],
-        {"net_change": "Net Backlog Change"},
-        where=lambda f: f("Flow Date") >= first,
-        order_by=["Flow Week"],
+    return layer.flow_since(layer.config.days_ago(FLOW_WINDOW_DAYS)).query(
+        ["Flow Week"], {"net_change": "Net Backlog Change"}, order_by=["Flow Week"]
     )
 
 

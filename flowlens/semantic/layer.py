@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from flowlens.operators.aggregates import created_resolved_daily
 from flowlens.plans.pipeline import Pipeline
@@ -28,3 +28,9 @@ class MetricLayer:
 
     def view(self, name: str) -> BoundView:
         return BoundView(self.views[f"metric_{name}"], self.table)
+
+    def flow_since(self, first_day: Column) -> BoundView:
+        """The flow view over the days from ``first_day`` on."""
+        days = created_resolved_daily(self.pipeline.gold("fct_issue"), first_day)
+        view = self.views["metric_flow"]
+        return BoundView(view, lambda name: days if name == view.table else self.table(name))

@@ -239,7 +239,13 @@ def test_flow_matches_null_projects_and_keeps_both_sides(spark):
             (1, when("2020-01-02 09:00:00"), when("2020-01-05 09:00:00"), 5.0),
         ],
         "project_id long, created_at timestamp, resolved_at timestamp, story_points double",
-    ).withColumns({"project_key": F.lit("K"), "project_name": F.lit("N")})
+    ).withColumns(
+        {
+            "project_key": F.lit("K"),
+            "project_name": F.lit("N"),
+            "is_resolved": F.col("resolved_at").isNotNull(),
+        }
+    )
     found = {
         (r.flow_date.day, r.project_id): (
             r.created_issues,
@@ -258,6 +264,28 @@ def test_flow_matches_null_projects_and_keeps_both_sides(spark):
     }
 
 
+def test_flow_since_a_day_is_the_flow_filtered(spark):
+    rows = spark.createDataFrame(
+        [
+            (1, when("2020-01-01"), when("2020-01-05"), 2.0),
+            (1, when("2020-01-04"), None, 1.0),
+            (2, when("2020-01-02"), when("2020-01-03"), 3.0),
+        ],
+        "project_id long, created_at timestamp, resolved_at timestamp, story_points double",
+    ).withColumns(
+        {
+            "project_key": F.lit("K"),
+            "project_name": F.lit("N"),
+            "is_resolved": F.col("resolved_at").isNotNull(),
+        }
+    )
+    first = F.lit("2020-01-03").cast("date")
+    whole = aggregates.created_resolved_daily(rows).where(F.col("flow_date") >= first)
+    recent = aggregates.created_resolved_daily(rows, first)
+    assert sorted(map(tuple, recent.collect())) == sorted(map(tuple, whole.collect()))
+    assert recent.count() == 3
+
+
 def test_recent_counts_have_no_upper_bound(spark):
     rows = spark.createDataFrame(
         [
