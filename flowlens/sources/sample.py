@@ -20,7 +20,7 @@ SAMPLE_AS_OF = "2001-08-02 00:00:00"
 # that the planner knows how small they are and broadcasts them.
 LANDED = (
     "issues sprints version projects status status_category priority issue_types resolutions "
-    "issue_fields"
+    "issue_fields boards"
 ).split()
 
 FIRST_YEAR = 1995
@@ -195,9 +195,28 @@ class SampleSource:
             )
         )
 
+    def _customers_by_nation(self) -> DataFrame:
+        return (
+            self.read("customer")
+            .groupBy(F.col("c_nationkey").alias("n_nationkey"))
+            .agg(F.count("*").alias("customers"), F.min("c_custkey").alias("first_customer"))
+        )
+
     def _project_categories_table(self) -> DataFrame:
-        return self.read("region").select(
-            F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")
+        served = (
+            self.read("nation")
+            .join(self._customers_by_nation(), "n_nationkey")
+            .groupBy(F.col("n_regionkey").alias("r_regionkey"))
+            .agg(F.sum("customers").alias("customers"))
+        )
+        return (
+            self.read("region")
+            .join(served, "r_regionkey", "left")
+            .select(
+                F.col("r_regionkey").alias("id"),
+                F.col("r_name").alias("name"),
+                F.concat(F.col("customers"), F.lit(" customers")).alias("description"),
+            )
         )
 
     def _status_table(self) -> DataFrame:
@@ -348,20 +367,23 @@ class SampleSource:
 
     def _boards_table(self) -> DataFrame:
         nation = F.col("n_nationkey")
-        return self.read("nation").select(
-            (nation + 1000).alias("id"),
-            _text("Board ", "n_name").alias("name"),
-            F.when(nation % 2 == 0, "scrum").otherwise("kanban").alias("type"),
-            nation.alias("projectId"),
-            (nation + 5000).alias("filterId"),
-            F.lit("project").alias("location"),
+        return (
+            self.read("nation")
+            .join(self._customers_by_nation(), "n_nationkey", "left")
+            .select(
+                (nation + 1000).alias("id"),
+                _text("Board ", "n_name").alias("name"),
+                F.when(nation % 2 == 0, "scrum").otherwise("kanban").alias("type"),
+                nation.alias("projectId"),
+                F.col("first_customer").alias("filterId"),
+                F.lit("project").alias("location"),
+            )
         )
 
     def _project_board_table(self) -> DataFrame:
-        nation = F.col("n_nationkey")
-        return self.read("nation").select(
-            nation.alias("projectId"), (nation + 1000).alias("boardId")
-        )
+        nation = F.col("c_nationkey")
+        served = self.read("customer").select(nation).distinct()
+        return served.select(nation.alias("projectId"), (nation + 1000).alias("boardId"))
 
     def _project_components_table(self) -> DataFrame:
         number = (F.col("p_partkey") % 25 + 1).alias("id")

@@ -118,7 +118,9 @@ SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS project_key,
 FROM nation"""
 
 TABLES["s_project_category"] = """
-SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(NULL AS VARCHAR) AS description
+SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name,
+       (SELECT nullif(count(*), 0) || ' customers' FROM customer JOIN nation ON n_nationkey = c_nationkey
+        WHERE n_regionkey = r_regionkey) AS description
 FROM region"""
 
 TABLES["s_project_role"] = """
@@ -192,13 +194,15 @@ FROM b_version_ids"""
 TABLES["s_board"] = """
 SELECT CAST(n_nationkey + 1000 AS BIGINT) AS id, 'Board ' || n_name AS name,
        CASE WHEN n_nationkey % 2 = 0 THEN 'scrum' ELSE 'kanban' END AS board_type,
-       CAST(n_nationkey AS BIGINT) AS project_id, CAST(n_nationkey + 5000 AS BIGINT) AS filter_id,
+       CAST(n_nationkey AS BIGINT) AS project_id,
+       (SELECT min(c_custkey) FROM customer WHERE c_nationkey = n_nationkey) AS filter_id,
        'project' AS location_type
 FROM nation"""
 
 TABLES["s_project_board"] = """
-SELECT CAST(n_nationkey AS BIGINT) AS project_id, CAST(n_nationkey + 1000 AS BIGINT) AS board_id
-FROM nation"""
+SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS project_id,
+       CAST(c_nationkey + 1000 AS BIGINT) AS board_id
+FROM customer"""
 
 TABLES["s_sprint"] = f"""
 SELECT id, project + 1000 AS board_id, 'Sprint ' || id AS name,
