@@ -41,7 +41,7 @@ OVERLAP = 0.8  # of the item's shingles
 PART_OVERLAP = 0.5  # of the question's and of the answer's shingles, each
 SCORE = 0.5  # normalised BM25
 K1, B = 1.2, 0.75
-COMMON = 0.3  # of an item's own score: what its commonest terms may add up to
+COMMON = 0.2  # of an item's own score: what its commonest terms may add up to
 BLOCK = 64  # postings of a block
 SLICE_BYTES = 16 << 20  # text of the items in one index
 ANSWER_SHARE = 0.25  # last words of an item, where it has no answer of its own
