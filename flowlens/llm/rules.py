@@ -168,7 +168,10 @@ def labelled_bins(stats: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[
     cuts = rows.agg(
         *[F.percentile_approx(name, quantiles, 10_000).alias(name) for name in MEASURES]
     ).first()
-    bounds = {name: sorted(set(cuts[name] or [])) for name in MEASURES}
+    # Halfway between neighbouring quantiles: a bound at a value itself would part
+    # the labelled rows as well, but not the rows that lie a little beyond.
+    values = {name: sorted(set(cuts[name] or [])) for name in MEASURES}
+    bounds = {name: [(a + b) / 2 for a, b in zip(own, own[1:])] for name, own in values.items()}
 
     def bin_of(name: str) -> Column:
         """How many bounds lie below the value."""
@@ -258,7 +261,7 @@ def learn(stats: DataFrame, labels: DataFrame) -> DecisionList:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """statistics() of every row with ``base_failed`` and ``kept``."""
     stats = land(statistics(docs), "statistics")
-    rules = learn(stats, labels)
+    rules = learn(stats.where(~base_failed()), labels)
     return stats.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & rules.keeps()
     )
