@@ -18,7 +18,8 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,12 @@ CHUNK = 8
 STRIDE = 512  # bits between two counts of a directory
 SEGMENT = 1 << 20  # ids after which a segment is closed
 MAGIC = b"DAC1"
-_KNOWN_WORDS = 400_000
-_BLANKS = re.compile(r"\s | \s|^\s|\s$")
+_KNOWN_PIECES = 400_000
+# Blanks other than the space and the line feed.
+_OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RUNS = ("  ", " \n", "\n ")
+# Marks a piece that stands as it is; a piece without it has a space before it.
+_AS_IS = "\0"
 _CHUNKS = re.compile(r"\s*\S+|\s+")
 # A word of letters with punctuation behind it: the pre-tokenizer always parts the two.
 _STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([#*$%&|!,.;:?]+)")
@@ -122,56 +127,75 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        """Start anew: pieces to places, and ids of all places end to end."""
         self.place: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
         self.part: dict[str, list[int]] = {}
-        self.table = None
+        self.flat, self.used = np.empty(1 << 20, np.uint32), 0
+        self.begins, self.sizes = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
 
-    def _encoded(self, pieces: list[str]) -> Iterator[list[int]]:
-        for found in self.library.encode_batch_fast(pieces, add_special_tokens=False):
-            yield found.ids
+    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces; letters and the punctuation behind them are looked up apart."""
+        cuts = []
+        for piece in pieces:
+            if piece[:1] == _AS_IS:
+                cuts.append((piece[1:],))
+            elif word := _STEM.fullmatch(piece):
+                cuts.append((f" {word[1]}", word[2]))
+            else:
+                cuts.append((f" {piece}",))
+        unknown = list({part for parts in cuts for part in parts if part not in self.part})
+        encoded = self.library.encode_batch_fast(unknown, add_special_tokens=False)
+        self.part.update((part, found.ids) for part, found in zip(unknown, encoded))
+        return [self.part[parts[0]] + self.part[parts[1]] if parts[1:] else self.part[parts[0]] for parts in cuts]
 
     def _learn(self, pieces: list[str]) -> None:
-        wanted, cuts = {}, []
-        for piece in pieces:
-            word = _STEM.fullmatch(piece[1:]) if piece[:1] == " " else None
-            parts = (f" {word[1]}", word[2]) if word else (piece,)
-            cuts.append(parts)
-            wanted.update(zip([p for p in parts if p not in self.part], repeat(None)))
-        self.part.update(zip(wanted, self._encoded(list(wanted))))
-        for piece, parts in zip(pieces, cuts):
-            self.place[piece] = len(self.ids)
-            self.ids.append([i for part in parts for i in self.part[part]])
-        self.table = None
-
-    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self.table is None:
-            sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-            flat = np.fromiter((i for ids in self.ids for i in ids), np.uint32, sizes.sum())
-            self.table = (flat, np.cumsum(sizes) - sizes, sizes)
-        return self.table
+        found = self._ids_of(pieces)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        first, last = len(self.place), len(self.place) + len(pieces)
+        total = int(sizes.sum())
+        while last > len(self.begins):
+            self.begins, self.sizes = (np.resize(a, 2 * len(a)) for a in (self.begins, self.sizes))
+        while self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.begins[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:last] = sizes
+        self.place.update(zip(pieces, range(first, last)))
+        self.used += total
 
     def pieces(self, text: str) -> list[str]:
-        if _BLANKS.search(text):
-            return _CHUNKS.findall(text)
-        words = text.split(" ")
-        return [words[0], *[f" {word}" for word in words[1:]]] if text else []
+        """The text cut before its blank runs; most pieces are words after one space."""
+        if not text:
+            return []
+        plain = not (text[0].isspace() or text[-1].isspace() or any(run in text for run in _RUNS))
+        if plain and not _OTHER_BLANKS.search(text):
+            words = text.split(" ")
+            words[0] = _AS_IS + words[0]
+            return words
+        return [_AS_IS + chunk for chunk in _CHUNKS.findall(text)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(text) for text in texts]
-        if len(self.place) > _KNOWN_WORDS:
+        if len(self.place) > _KNOWN_PIECES or len(self.part) > _KNOWN_PIECES:
             self._forget()
-        missing = {piece for pieces in cut for piece in pieces if piece not in self.place}
-        if missing:
-            self._learn(sorted(missing))
-        flat, begins, sizes = self._tables()
-        out = []
-        for pieces in cut:
-            places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-            counts = sizes[places]
-            take = np.repeat(begins[places] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            out.append(flat[take])
-        return out
+        pieces = list(chain.from_iterable(cut))
+        places = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(places < 0).tolist()
+        if new:
+            self._learn(list({pieces[i] for i in new}))
+            places[new] = [self.place[pieces[i]] for i in new]
+        counts = self.sizes[places]
+        ends = np.cumsum(counts)
+        ids = self.flat[np.repeat(self.begins[places] - ends + counts, counts) + np.arange(counts.sum())]
+        lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+        stops = np.concatenate([[0], ends])[np.cumsum(lengths)]
+        return np.split(ids, stops[:-1])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder per Python worker: its memory outlives a task."""
+    return Encoder(path)
 
 
 _SEGMENTS = pa.schema(
@@ -210,7 +234,7 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID, segmen
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, found, total = [], [], 0
 
