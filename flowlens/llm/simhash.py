@@ -184,7 +184,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     )
 
     def rows_of(keep: DataFrame, key: Column) -> DataFrame:
-        return docs.join(keep.select("__kept"), key == F.col("__kept"), "left_semi")
+        # The ids kept grow with the corpus, so they are never broadcast: the hint
+        # keeps the plan the same at every size.
+        return docs.join(keep.select("__kept").hint("merge"), key == F.col("__kept"), "left_semi")
 
     kept = rows_of(single, docs["doc_id"])
     if not repeated.isEmpty():
