@@ -37,8 +37,8 @@ MEASURES = {
 
 BINS = 64
 RULES, CONDITIONS = 8, 3
-LEAST_COVER = 20  # labelled rows that a rule must cover while it grows
-LEAST_PURITY = 0.9  # share of low-quality rows that it must have when pruned
+LEAST_COVER = 10  # labelled rows that a rule must cover while it grows
+LEAST_PURITY = 0.8  # smoothed share of low-quality rows that it must have when pruned
 
 
 def _repeated(hashes: Column) -> Column:
