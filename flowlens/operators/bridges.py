@@ -38,12 +38,16 @@ def exploded_ids(
     spellings: tuple[str, ...],
     output: str,
     names: DataFrame | None = None,
+    homes: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct (issue, id) pairs from an array column of the issues.
 
     Elements may be ids, ids in text, or structs with an ``id``.  Text that is
-    no id is looked up in ``names`` (columns ``id`` and ``name``) when given.
-    Without any such column the bridge is empty, with the same schema.
+    no id is looked up in ``names`` (columns ``id``, ``name`` and ``project_id``)
+    when given: a name counts within the issue's own project only, as projects
+    name their parts alike.  ``homes`` (``id`` and ``project_id`` of the issues)
+    tells the project; an issue without one matches no name.  Without any such
+    column the bridge is empty, with the same schema.
     """
     issue_id = resolve(issues.columns, parse_target("issue_id string!: id"))
     found = present_name(issues.columns, spellings)
@@ -55,11 +59,20 @@ def exploded_ids(
     )
     element = F.col("element")
     pairs = elements.select("issue_id", _element_id(element, kind).alias(output), "element")
-    if names is not None and isinstance(kind, T.StringType):
-        known = names.select(F.col("name").alias("element"), F.col("id").alias("__named"))
-        pairs = pairs.join(known, "element", "left").withColumn(
-            output, F.coalesce(output, "__named")
+    if names is not None and homes is not None and isinstance(kind, T.StringType):
+        places = homes.select(
+            F.col("id").cast("string").alias("issue_id"), F.col("project_id").alias("__project")
+        ).distinct()
+        known = names.select(
+            F.col("name").alias("element"),
+            F.col("project_id").alias("__project"),
+            F.col("id").alias("__named"),
         )
+        named = pairs.where(F.col(output).isNull()).join(places, "issue_id")
+        named = named.join(known, ["element", "__project"]).select(
+            "issue_id", F.col("__named").alias(output)
+        )
+        pairs = pairs.select("issue_id", output).unionByName(named)
     return pairs.select("issue_id", output).where(F.col(output).isNotNull()).distinct()
 
 
@@ -69,12 +82,24 @@ def sprint_issue(issues: DataFrame) -> DataFrame:
     )
 
 
-def issue_component(issues: DataFrame, components: DataFrame | None = None) -> DataFrame:
-    return exploded_ids(issues, ("component_ids", "components"), "component_id", components)
+def issue_component(
+    issues: DataFrame, components: DataFrame | None = None, homes: DataFrame | None = None
+) -> DataFrame:
+    return exploded_ids(issues, ("component_ids", "components"), "component_id", components, homes)
 
 
-def issue_version(issues: DataFrame, versions: DataFrame | None = None) -> DataFrame:
-    return exploded_ids(issues, ("fix_version_ids", "fix_versions"), "version_id", versions)
+def issue_version(
+    issues: DataFrame,
+    versions: DataFrame | None = None,
+    owners: DataFrame | None = None,
+    homes: DataFrame | None = None,
+) -> DataFrame:
+    """``owners`` (``version_id`` and ``project_id``) tells the project of a version."""
+    names = None
+    if versions is not None and owners is not None:
+        owned = owners.select(F.col("version_id").alias("id"), "project_id")
+        names = versions.select("id", "name").join(owned, "id")
+    return exploded_ids(issues, ("fix_version_ids", "fix_versions"), "version_id", names, homes)
 
 
 def epic_issue(issues: DataFrame, issue_types: DataFrame, epic_name: str) -> DataFrame:

@@ -37,11 +37,13 @@ def enforce(frame: DataFrame, table: str, expectations: Sequence[Expectation]) -
     """Filter that keeps good rows; a row against a ``fail`` stops the query itself.
 
     The check sits in the plan, so it costs no extra pass and no driver action.
+    Its predicate counts as non-deterministic, so the planner moves no filter of a
+    later join or query below it: a bad row reaches the check before it is dropped.
     """
     for expectation in expectations:
         if expectation.action == FAIL:
             message = f"expectation {expectation.name} violated in {table}"
-            passes = F.when(expectation.holds(), True).otherwise(
+            passes = F.when(expectation.holds(), F.spark_partition_id() >= 0).otherwise(
                 F.raise_error(message).cast("boolean")
             )
             frame = frame.where(passes)

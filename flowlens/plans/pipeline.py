@@ -63,8 +63,13 @@ def _silver() -> dict[str, Node]:
             "bronze.issues bronze.issue_types",
             configured=True,
         ),
-        "issue_component": node(bridges.issue_component, "bronze.issues silver.component"),
-        "issue_version": node(bridges.issue_version, "bronze.issues silver.version"),
+        "issue_component": node(
+            bridges.issue_component, "bronze.issues silver.component silver.issue"
+        ),
+        "issue_version": node(
+            bridges.issue_version,
+            "bronze.issues silver.version silver.project_version silver.issue",
+        ),
     }
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -21,13 +20,13 @@ SETTINGS = {
 
 # Shuffles start with one partition per this much input, read from compressed
 # columns that grow about threefold in memory; the adaptive planner merges the
-# small ones.  The upper limit keeps the bookkeeping of one shuffle in the driver.
+# small ones.
 INPUT_PER_PARTITION = 48 * 1024**2
-MOST_PARTITIONS = 50_000
 
 
 def starting_partitions(input_bytes: int) -> int:
-    return min(MOST_PARTITIONS, math.ceil(input_bytes / INPUT_PER_PARTITION))
+    """Partitions that keep their size, however large the input is."""
+    return math.ceil(input_bytes / INPUT_PER_PARTITION)
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -51,7 +50,16 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only a session without one (a local test) gets a temporary folder.
+    A session without one is refused: in a folder of one machine, each executor
+    would write to its own disk and later reads would miss those rows.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="flowlens-")
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

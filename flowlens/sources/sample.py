@@ -309,10 +309,6 @@ class SampleSource:
         )
 
     def _issue_field_values_table(self) -> DataFrame:
-        changes = self._lines.groupBy("l_orderkey", "l_shipdate").agg(
-            F.min("l_linenumber").alias("line"), F.min("l_suppkey").alias("supplier")
-        )
-
         def values(rows: DataFrame, **fields: Column) -> DataFrame:
             entries = [
                 F.struct(F.lit(field).alias("field_id"), value.cast("string").alias("field_value"))
@@ -324,11 +320,13 @@ class SampleSource:
                 F.explode(F.array(*entries)).alias("entry"),
             ).select("issue_id", "entry.*", "updated_at")
 
-        single = values(changes, status=F.col("line") % 4 + 1, assignee=_text("S", "supplier"))
-        several = values(
-            self._lines, labels=F.col("l_returnflag"), components=F.col("component_id")
+        return values(
+            self._lines,
+            status=F.col("l_linenumber") % 4 + 1,
+            assignee=_text("S", "l_suppkey"),
+            labels=F.col("l_returnflag"),
+            components=F.col("component_id"),
         )
-        return single.unionByName(several)
 
     def _issue_worklogs_table(self) -> DataFrame:
         return self._lines.select(
@@ -356,7 +354,7 @@ class SampleSource:
     def _issue_links_table(self) -> DataFrame:
         flag = F.col("l_returnflag")
         order = F.col("l_orderkey")
-        return self._lines.where(F.col("l_linenumber") == 2).select(
+        return self._lines.select(
             order.alias("source_issue_id"),
             F.when(order % 50 != 49, order + 1).alias("target_issue_id"),
             spelled(flag, LINK_TYPES).alias("link_type_id"),

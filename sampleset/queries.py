@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from flowlens.plans.datasets import DATASETS
 from flowlens.plans.pipeline import GOLD, SILVER, STEPS, Pipeline
 from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
-from flowlens.session import configure, folder_bytes, shared_folder
+from flowlens.session import configure, folder_bytes, remove_folder, shared_folder
 from flowlens.sources.columns import parse_target, project
 from flowlens.sources.sample import LANDED, SAMPLE_AS_OF, SampleSource
 from flowlens.sources.sinks import FolderStore
@@ -29,6 +30,12 @@ LayerQuery = Callable[[MetricLayer], DataFrame]
 _workspaces: dict[tuple[str, str], MetricLayer] = {}
 
 
+def _discard(spark: SparkSession, root: str) -> None:
+    """Delete the tables of an application that ends; one that has stopped cannot."""
+    if spark.sparkContext._jsc is not None:
+        remove_folder(spark, root)
+
+
 def workspace(spark: SparkSession, folder: str) -> MetricLayer:
     """The layers over one sample folder, shared by the queries of an application.
 
@@ -39,6 +46,7 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
     if key not in _workspaces:
         configure(spark, folder_bytes(spark, folder))
         root = f"{shared_folder(spark)}/flowlens-{uuid.uuid4().hex}"
+        atexit.register(_discard, spark, root)
         source = SampleSource(spark, folder)
         pipeline = Pipeline(
             source, LayerConfig(as_of=SAMPLE_AS_OF), FolderStore(spark, root), landed=LANDED

@@ -45,3 +45,22 @@ def test_key_tables_refuse_null_keys(spark, table, source, columns):
     pipeline = Pipeline(FrameSource({source: frame}))
     with pytest.raises(PySparkException, match="not_null violated"):
         pipeline.silver(table).collect()
+
+
+def test_fail_is_not_skipped_by_a_join_or_filter(spark, tmp_path):
+    """A later filter or join key would drop the bad row in the scan, were it let through."""
+    rows = [("a", "Ann"), (None, "Bob")]
+    spark.createDataFrame(rows, "account_id string, display_name string").write.parquet(f"{tmp_path}/u")
+    spark.createDataFrame([("a",)], "who string").write.parquet(f"{tmp_path}/w")
+    users = enforce(
+        spark.read.parquet(f"{tmp_path}/u"), "user", [fail("account_id_not_null", "account_id IS NOT NULL")]
+    )
+    logs = spark.read.parquet(f"{tmp_path}/w")
+    for query in (
+        users.where("account_id = 'a'"),
+        users.where("account_id IS NOT NULL").select("display_name"),
+        logs.join(users, logs.who == users.account_id),
+        logs.join(users, logs.who == users.account_id, "left"),
+    ):
+        with pytest.raises(PySparkException, match="account_id_not_null violated in user"):
+            query.collect()

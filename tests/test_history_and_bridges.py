@@ -36,8 +36,23 @@ def test_struct_and_text_elements(spark):
     )
     assert pairs(bridges.issue_component(structs)) == [("1", 5)]
     texts = spark.createDataFrame([(1, ["7", "api"])], "id long, components array<string>")
-    names = spark.createDataFrame([(9, "api")], "id long, name string")
-    assert pairs(bridges.issue_component(texts, names)) == [("1", 7), ("1", 9)]
+    names = spark.createDataFrame([(9, "api", 3)], "id long, name string, project_id long")
+    homes = spark.createDataFrame([("1", 3)], "id string, project_id long")
+    assert pairs(bridges.issue_component(texts, names, homes)) == [("1", 7), ("1", 9)]
+
+
+def test_names_count_within_the_project_only(spark):
+    issues = spark.createDataFrame(
+        [(1, ["UI"]), (2, ["UI"]), (3, ["UI"])], "id long, components array<string>"
+    )
+    homes = spark.createDataFrame([("1", 10), ("2", 20)], "id string, project_id long")
+    names = spark.createDataFrame(
+        [(7, "UI", 10), (8, "UI", 20)], "id long, name string, project_id long"
+    )
+    assert pairs(bridges.issue_component(issues, names, homes)) == [("1", 7), ("2", 8)]
+    fixed = issues.withColumnRenamed("components", "fix_versions")
+    versions, owners = names.drop("project_id"), names.selectExpr("id version_id", "project_id")
+    assert pairs(bridges.issue_version(fixed, versions, owners, homes)) == [("1", 7), ("2", 8)]
 
 
 def test_missing_array_gives_an_empty_typed_bridge(spark):

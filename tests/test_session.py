@@ -1,11 +1,11 @@
-import os
-import tempfile
 from types import SimpleNamespace
 
+import pytest
+
 from flowlens.session import (
-    MOST_PARTITIONS,
     configure,
     folder_bytes,
+    remove_folder,
     shared_folder,
     starting_partitions,
 )
@@ -17,7 +17,7 @@ def test_partitions_grow_with_the_input():
     assert starting_partitions(0) == 0
     assert starting_partitions(1024**2) == 1
     assert starting_partitions(1024**4) == 21846
-    assert starting_partitions(100 * 1024**4) == MOST_PARTITIONS
+    assert starting_partitions(100 * 1024**4) == 100 * 1024**4 // (48 * 1024**2) + 1
 
 
 def test_only_large_inputs_raise_the_number(spark):
@@ -39,5 +39,11 @@ def test_folder_size(spark, tmp_path):
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
-    own = shared_folder(unset)
-    assert os.path.isdir(own) and own.startswith(tempfile.gettempdir())
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(unset)
+
+
+def test_removed_folder_is_gone(spark, tmp_path):
+    (tmp_path / "inner").mkdir()
+    remove_folder(spark, str(tmp_path / "inner"))
+    assert not (tmp_path / "inner").exists()
