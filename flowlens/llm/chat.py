@@ -88,13 +88,14 @@ def _jumps(links: DataFrame) -> list[DataFrame]:
     """
     reach = [land(links, "jump")]
     while not reach[-1].where("up is not null").isEmpty():
-        near, far = reach[-1].alias("n"), reach[-1].alias("f")
+        # Nodes that have come to their root rest; only the others are joined again.
+        near, far = reach[-1].where("up is not null").alias("n"), reach[-1].alias("f")
         joined = near.join(
             far,
             F.col("n.tree").eqNullSafe(F.col("f.tree")) & (F.col("n.up") == F.col("f.node")),
             "left",
         )
-        reach.append(
+        further = (
             land(
                 joined.select(
                     F.col("n.tree").alias("tree"),
@@ -106,6 +107,7 @@ def _jumps(links: DataFrame) -> list[DataFrame]:
                 "jump",
             )
         )
+        reach.append(further.unionByName(reach[-1].where("up is null")))
         if len(reach) > 63:
             raise ValueError("the replies form a circle")
     return reach
