@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,9 +71,12 @@ def labelled(
     sample = rows.join(chosen, F.col("__doc") == F.col("__id")).select(
         "__id", "__label", encoded("__text").alias("__ids")
     )
-    found = sample.toPandas().sort_values(["__id", "__ids"], kind="stable")
-    ids = [np.frombuffer(value, "<u4").astype(np.int64) for value in found["__ids"]]
-    return ids, found["__label"].to_numpy(np.float64)
+    found = sample.toArrow()
+    order = pc.sort_indices(found, [("__id", "ascending"), ("__ids", "ascending")]).to_pylist()
+    # Views of the received table: the sample is in the driver's memory once.
+    received = found["__ids"]
+    ids = [np.frombuffer(received[i].as_buffer(), "<u4") for i in order]
+    return ids, found["__label"].to_numpy()[order].astype(np.float64)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -77,10 +77,6 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Regress
     if not len(labels):
         return Regression(0.0, np.zeros(SLOTS, np.float32))
     random = np.random.default_rng(seed)
-    packed = []
-    for row in rows:
-        slots, counts = np.unique(row, return_counts=True)
-        packed.append((slots, counts * (SCALE / max(len(row), 1))))
     z, n = np.zeros(SLOTS), np.zeros(SLOTS)
     bias, bias_n = float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))), 1.0
 
@@ -92,8 +88,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Regress
         order = random.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             batch = order[begin : begin + BATCH]
-            ids, of = flat([packed[i][0] for i in batch])
-            values = np.concatenate([packed[i][1] for i in batch])
+            ids, of = flat([rows[i] for i in batch])
+            # A slot met twice in a text adds its value twice, so repeats need no counts.
+            values = np.concatenate([np.full(len(rows[i]), SCALE / max(len(rows[i]), 1)) for i in batch])
             used, inverse = np.unique(ids, return_inverse=True)
             now = weight(used)
             error = sigmoid(bias + np.bincount(of, now[inverse] * values, len(batch))) - labels[batch]
