@@ -14,12 +14,13 @@ Parquet file: written by tasks, committed by Spark, readable from any machine.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,18 @@ CHUNK = 8
 STRIDE = 512  # bits between two counts of a directory
 SEGMENT = 1 << 20  # ids after which a segment is closed
 MAGIC = b"DAC1"
-_KNOWN_PIECES = 400_000
+# Pieces and parts remembered by a worker; beyond, it starts anew.
+_KNOWN_PIECES = 300_000
+_KNOWN_PARTS = 600_000
 # Blanks other than the space and the line feed.
 _OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _RUNS = ("  ", " \n", "\n ")
 # Marks a piece that stands as it is; a piece without it has a space before it.
 _AS_IS = "\0"
 _CHUNKS = re.compile(r"\s*\S+|\s+")
-# A word of letters with punctuation behind it: the pre-tokenizer always parts the two.
-_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([#*$%&|!,.;:?]+)")
+# A word of letters, maybe with punctuation behind it: the pre-tokenizer always parts the two.
+_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([#*$%&|!,.;:?]*)")
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -111,57 +115,114 @@ class Code:
         return ids
 
 
+class _Numbered(dict):
+    """Texts to numbers in the order in which they were first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self)
+        self.new.append(text)
+        return number
+
+    def taken(self) -> list[str]:
+        """The texts numbered since the last call."""
+        new, self.new = self.new, []
+        return new
+
+
+class _Column:
+    """Numbers appended in blocks."""
+
+    def __init__(self, kind: type):
+        self.held, self.used = np.empty(1 << 16, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.used + len(values) > len(self.held):
+            grown = np.empty(max(2 * len(self.held), self.used + len(values)), self.held.dtype)
+            grown[: self.used] = self.held[: self.used]
+            self.held = grown
+        self.held[self.used : self.used + len(values)] = values
+        self.used += len(values)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies.
+
+    Printable bytes stand for themselves, the others for letters from U+0100 on.
+    """
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in set(printable)]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 class Encoder:
     """Ids of texts, word by word, as a whole text would be encoded.
 
     The pre-tokenizer never lets a token run from a character that is not blank
-    into a blank.  So a text may be cut before every blank run, each piece encoded
-    by the library alone, and the ids laid end to end.  Pieces repeat, so their ids
-    are remembered, for as many pieces as memory allows.
+    into a blank.  So a text may be cut before every blank run, and the ids of the
+    pieces laid end to end.  A piece is one part, or letters and the punctuation
+    behind them as two.  Pieces and parts repeat, so they are numbered and the ids
+    of a part are remembered, for as many of them as memory allows.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        """Start anew: pieces to places, and ids of all places end to end."""
-        self.place: dict[str, int] = {}
-        self.part: dict[str, list[int]] = {}
-        self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.begins, self.sizes = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
-
-    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces; letters and the punctuation behind them are looked up apart."""
-        cuts = []
+        self.model = self.library.model if _is_plain(self.library) else None
+        self.letters = _byte_letters()
+        self._forget_parts()
+
+    def _forget_parts(self) -> None:
+        self.part = _Numbered()
+        self.flat, self.begins, self.sizes = _Column(np.uint32), _Column(np.int64), _Column(np.int64)
+        self._forget_pieces()
+
+    def _forget_pieces(self) -> None:
+        self.piece = _Numbered()
+        self.first, self.second = _Column(np.int64), _Column(np.int64)
+
+    def _ids_of(self, parts: list[str]) -> list[list[int]]:
+        """Ids of parts.  A space and letters are one word to the pre-tokenizer, so they go to the model as they are."""
+        found: list[list[int]] = [[]] * len(parts)
+        others = []
+        for i, part in enumerate(parts):
+            if self.model and _WORD.fullmatch(part):
+                if part.isascii():
+                    word = self.letters[0x20] + part[1:]
+                else:
+                    word = part.encode().decode("latin-1").translate(self.letters)
+                found[i] = [token.id for token in self.model.tokenize(word)]
+            elif part:
+                others.append(i)
+        encoded = self.library.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)
+        for i, encoding in zip(others, encoded):
+            found[i] = encoding.ids
+        return found
+
+    def _learn(self, pieces: list[str]) -> None:
+        words, marks = [], []
         for piece in pieces:
             if piece[:1] == _AS_IS:
-                cuts.append((piece[1:],))
-            elif word := _STEM.fullmatch(piece):
-                cuts.append((f" {word[1]}", word[2]))
+                words.append(piece[1:])
+                marks.append("")
+            elif cut := _STEM.fullmatch(piece):
+                words.append(" " + cut[1])
+                marks.append(cut[2])
             else:
-                cuts.append((f" {piece}",))
-        unknown = list({part for parts in cuts for part in parts if part not in self.part})
-        encoded = self.library.encode_batch_fast(unknown, add_special_tokens=False)
-        self.part.update((part, found.ids) for part, found in zip(unknown, encoded))
-        return [self.part[parts[0]] + self.part[parts[1]] if parts[1:] else self.part[parts[0]] for parts in cuts]
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = self._ids_of(pieces)
+                words.append(" " + piece)
+                marks.append("")
+        number = self.part.__getitem__
+        self.first.extend(np.fromiter(map(number, words), np.int64, len(words)))
+        self.second.extend(np.fromiter(map(number, marks), np.int64, len(marks)))
+        found = self._ids_of(self.part.taken())
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        first, last = len(self.place), len(self.place) + len(pieces)
-        total = int(sizes.sum())
-        while last > len(self.begins):
-            self.begins, self.sizes = (np.resize(a, 2 * len(a)) for a in (self.begins, self.sizes))
-        while self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.begins[first:last] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[first:last] = sizes
-        self.place.update(zip(pieces, range(first, last)))
-        self.used += total
+        self.begins.extend(self.flat.used + np.cumsum(sizes) - sizes)
+        self.sizes.extend(sizes)
+        self.flat.extend(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
     def pieces(self, text: str) -> list[str]:
         """The text cut before its blank runs; most pieces are words after one space."""
@@ -176,22 +237,39 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(text) for text in texts]
-        if len(self.place) > _KNOWN_PIECES or len(self.part) > _KNOWN_PIECES:
-            self._forget()
-        pieces = list(chain.from_iterable(cut))
-        places = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = np.flatnonzero(places < 0).tolist()
-        if new:
-            self._learn(list({pieces[i] for i in new}))
-            places[new] = [self.place[pieces[i]] for i in new]
-        counts = self.sizes[places]
-        ends = np.cumsum(counts)
-        ids = self.flat[np.repeat(self.begins[places] - ends + counts, counts) + np.arange(counts.sum())]
+        if len(self.part) > _KNOWN_PARTS:
+            self._forget_parts()
+        elif len(self.piece) > _KNOWN_PIECES:
+            self._forget_pieces()
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-        stops = np.concatenate([[0], ends])[np.cumsum(lengths)]
+        total = int(lengths.sum())
+        places = np.fromiter(map(self.piece.__getitem__, chain.from_iterable(cut)), np.int64, total)
+        if self.piece.new:
+            self._learn(self.piece.taken())
+        parts = np.empty(2 * total, np.int64)
+        parts[::2] = self.first.held[places]
+        parts[1::2] = self.second.held[places]
+        counts = self.sizes.held[parts]
+        ends = np.cumsum(counts)
+        ids = self.flat.held[np.repeat(self.begins.held[parts] - ends + counts, counts) + np.arange(counts.sum())]
+        stops = np.concatenate([[0], ends])[2 * np.cumsum(lengths)]
         return np.split(ids, stops[:-1])
 
 
+def _is_plain(library) -> bool:
+    """Whether the tokenizer is byte-level BPE that only parts words, with nothing before or between."""
+    said = json.loads(library.to_str())
+    parting = said["pre_tokenizer"] or {}
+    return (
+        said["normalizer"] is None
+        and parting.get("type") == "ByteLevel"
+        and parting.get("use_regex", True)
+        and not parting["add_prefix_space"]
+        and said["model"]["type"] == "BPE"
+        and said["truncation"] is None
+    )
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
     """One encoder per Python worker: its memory outlives a task."""

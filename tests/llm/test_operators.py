@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import hashlib
 import re
 import sys
@@ -360,3 +361,24 @@ def test_wand_finds_what_scoring_all_items_finds():
                 scores[number] += weight
         wanted = {n for n, score in scores.items() if score >= 0.5 - 1e-9}
         assert {n for n, _ in index.search(terms)} == wanted
+
+
+def test_encoder_matches_whole_texts_while_it_forgets(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "_KNOWN_PIECES", 40)
+    monkeypatch.setattr(tokens, "_KNOWN_PARTS", 60)
+    draw = random.Random(5)
+    letters = "abcXYZÀéßÿñ'’-_#*$%&|!,.;:?0123456789<|>{}字😀\u0301ſ"
+    blanks = [" ", " ", " ", " ", "  ", "\n", " \n", "\t", "\u00a0", "\u3000", "\r\n"]
+    texts = ["", " ", "\n", "<|endoftext|>", "a<|endoftext|>b c", "don't won't IT'S", "x" * 5000]
+    for _ in range(300):
+        words = ["".join(draw.choices(letters, k=draw.randint(1, 9))) for _ in range(draw.randint(1, 30))]
+        texts.append("".join(word + draw.choice(blanks) for word in words))
+        texts.append(" ".join(words))
+    encoder = tokens.Encoder(tokenizer())
+    library = Tokenizer.from_file(tokenizer())
+    for begin in range(0, len(texts), 50):
+        some = texts[begin : begin + 50]
+        expected = [found.ids for found in library.encode_batch(some, add_special_tokens=False)]
+        assert [ids.tolist() for ids in encoder.encode(some)] == expected
