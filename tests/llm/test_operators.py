@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import random
 import hashlib
+import random
 import re
 import sys
 import zlib
