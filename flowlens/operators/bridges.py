@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.sources.columns import parse_target, present_name, project, resolve
+from flowlens.sources.columns import Target, present_name, project, resolve
 
 
 def issue_link(links: DataFrame) -> DataFrame:
     ends = project(
         links,
         [
-            parse_target("source_issue_id string: source_issue_id issue_id"),
-            parse_target("target_issue_id string: target_issue_id related_issue_id"),
-            parse_target("link_type_id bigint"),
-            parse_target("kind string: relationship link_type_name"),
+            Target("source_issue_id", "string", ("source_issue_id", "issue_id")),
+            Target("target_issue_id", "string", ("target_issue_id", "related_issue_id")),
+            Target("link_type_id", "bigint", ("link_type_id",)),
+            Target("kind", "string", ("relationship", "link_type_name")),
         ],
     )
     return ends.select(
@@ -49,7 +49,7 @@ def exploded_ids(
     tells the project; an issue without one matches no name.  Without any such
     column the bridge is empty, with the same schema.
     """
-    issue_id = resolve(issues.columns, parse_target("issue_id string!: id"))
+    issue_id = resolve(issues.columns, Target("issue_id", "string", ("id",), required=True))
     found = present_name(issues.columns, spellings)
     if found is None:
         return issues.select(issue_id, F.lit(None).cast("bigint").alias(output)).where(F.lit(False))
@@ -121,8 +121,8 @@ def epic_issue(issues: DataFrame, issue_types: DataFrame, epic_name: str) -> Dat
         project(
             issues,
             [
-                parse_target("epic_id string!: id"),
-                parse_target("type string: issue_type_id issueType issue_type"),
+                Target("epic_id", "string", ("id",), required=True),
+                Target("type", "string", ("issue_type_id", "issueType", "issue_type")),
             ],
         )
         .join(epic_types, "type", "left_semi")
@@ -131,8 +131,8 @@ def epic_issue(issues: DataFrame, issue_types: DataFrame, epic_name: str) -> Dat
     children = project(
         issues,
         [
-            parse_target("epic_id string: parent_id parentId parent"),
-            parse_target("issue_id string!: id"),
+            Target("epic_id", "string", ("parent_id", "parentId", "parent")),
+            Target("issue_id", "string", ("id",), required=True),
         ],
     )
     return children.distinct().join(epics, "epic_id", "left_semi")

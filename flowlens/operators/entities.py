@@ -5,55 +5,70 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.sources.columns import parse_target, project, resolve
+from flowlens.sources.columns import Target, project, resolve
 
 # Issue columns taken over as they are, with their source spellings.
-_ISSUE_COLUMNS = tuple(
-    parse_target(line.strip())
-    for line in """
-    id string!
-    issue_key string: key issue_key
-    summary string
-    description string
-    reporter_id string: reporter reporter_account_id reporter_id
-    assignee_id string: assignee assignee_account_id assignee_id
-    creator_id string: creator creator_account_id creator_id
-    parent_id string: parent_id parentId parent
-    created_at timestamp: created created_at
-    updated_at timestamp: updated updated_at
-    resolved_at timestamp: resolutionDate resolutiondate resolved resolved_at
-    due_date date
-    environment string
-    labels array<string>
-    story_points double
-    original_estimate_seconds bigint
-    remaining_estimate_seconds bigint
-    time_spent_seconds bigint
-    watch_count int
-    vote_count int
-    """.strip().splitlines()
+_ISSUE_COLUMNS = (
+    Target("id", "string", ("id",), required=True),
+    Target("issue_key", "string", ("key", "issue_key")),
+    Target("summary", "string", ("summary",)),
+    Target("description", "string", ("description",)),
+    Target("reporter_id", "string", ("reporter", "reporter_account_id", "reporter_id")),
+    Target("assignee_id", "string", ("assignee", "assignee_account_id", "assignee_id")),
+    Target("creator_id", "string", ("creator", "creator_account_id", "creator_id")),
+    Target("parent_id", "string", ("parent_id", "parentId", "parent")),
+    Target("created_at", "timestamp", ("created", "created_at")),
+    Target("updated_at", "timestamp", ("updated", "updated_at")),
+    Target("resolved_at", "timestamp", ("resolutionDate", "resolutiondate", "resolved", "resolved_at")),
+    Target("due_date", "date", ("due_date",)),
+    Target("environment", "string", ("environment",)),
+    Target("labels", "array<string>", ("labels",)),
+    Target("story_points", "double", ("story_points",)),
+    Target("original_estimate_seconds", "bigint", ("original_estimate_seconds",)),
+    Target("remaining_estimate_seconds", "bigint", ("remaining_estimate_seconds",)),
+    Target("time_spent_seconds", "bigint", ("time_spent_seconds",)),
+    Target("watch_count", "int", ("watch_count",)),
+    Target("vote_count", "int", ("vote_count",)),
 )
 
 # Names an issue gives for its lookups.
-_ISSUE_KEYS = tuple(
-    parse_target(line.strip())
-    for line in """
-    __project string: projectKey project_key
-    __status string: status
-    __priority_id string: priorityId priority_id
-    __priority string: priority
-    __type string: issueType issue_type
-    __resolution string: resolution
-    """.strip().splitlines()
+_ISSUE_KEYS = (
+    Target("__project", "string", ("projectKey", "project_key")),
+    Target("__status", "string", ("status",)),
+    Target("__priority_id", "string", ("priorityId", "priority_id")),
+    Target("__priority", "string", ("priority",)),
+    Target("__type", "string", ("issueType", "issue_type")),
+    Target("__resolution", "string", ("resolution",)),
 )
 
 # Order of the silver issue columns.
 ISSUE_LAYOUT = (
-    "id issue_key project_id issue_type_id summary description priority_id status_id "
-    "resolution_id reporter_id assignee_id creator_id parent_id created_at updated_at "
-    "resolved_at due_date environment labels story_points original_estimate_seconds "
-    "remaining_estimate_seconds time_spent_seconds watch_count vote_count"
-).split()
+    "id",
+    "issue_key",
+    "project_id",
+    "issue_type_id",
+    "summary",
+    "description",
+    "priority_id",
+    "status_id",
+    "resolution_id",
+    "reporter_id",
+    "assignee_id",
+    "creator_id",
+    "parent_id",
+    "created_at",
+    "updated_at",
+    "resolved_at",
+    "due_date",
+    "environment",
+    "labels",
+    "story_points",
+    "original_estimate_seconds",
+    "remaining_estimate_seconds",
+    "time_spent_seconds",
+    "watch_count",
+    "vote_count",
+)
 
 # Category keys for sources that only show the English name.
 CATEGORY_KEYS = {"To Do": "new", "In Progress": "indeterminate", "Done": "done"}
@@ -63,7 +78,7 @@ def _named(lookup: DataFrame, key: str, output: str, *spellings: str) -> DataFra
     """Two columns of a lookup: the name issues refer to it by, and its id."""
     return project(
         lookup,
-        [parse_target(f"{key} string: {' '.join(spellings)}"), parse_target(f"{output} bigint: id")],
+        [Target(key, "string", spellings), Target(output, "bigint", ("id",))],
     )
 
 
@@ -126,7 +141,7 @@ def issue(
     for lookup in lookups:
         rows = rows.join(lookup, lookup.columns[0], "left")
     known_priorities = project(
-        priorities, [parse_target("id string"), parse_target("name string")]
+        priorities, [Target("id", "string", ("id",)), Target("name", "string", ("name",))]
     )
     rows = attach_by_id_or_name(
         rows, known_priorities, "__priority_id", "__priority", "priority_id"
@@ -139,11 +154,11 @@ def status(statuses: DataFrame, categories: DataFrame) -> DataFrame:
     rows = project(
         statuses,
         [
-            parse_target("id bigint!"),
-            parse_target("name string"),
-            parse_target("description string"),
-            parse_target("__category string: status_category_id status_category"),
-            parse_target("icon_url string"),
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("__category", "string", ("status_category_id", "status_category")),
+            Target("icon_url", "string", ("icon_url",)),
         ],
     )
     known = _named(categories, "__category", "status_category_id", "name")
@@ -162,11 +177,11 @@ def _category_key(source_key: Column, name: Column) -> Column:
 def status_category(categories: DataFrame) -> DataFrame:
     """Status categories with a language-independent key."""
     columns = categories.columns
-    source_key = resolve(columns, parse_target("key string: key category_key"))
-    name = resolve(columns, parse_target("name string"))
+    source_key = resolve(columns, Target("key", "string", ("key", "category_key")))
+    name = resolve(columns, Target("name", "string", ("name",)))
     return categories.select(
-        resolve(columns, parse_target("id bigint!")),
+        resolve(columns, Target("id", "bigint", ("id",), required=True)),
         _category_key(source_key, name).alias("category_key"),
         name,
-        resolve(columns, parse_target("color_name string")),
+        resolve(columns, Target("color_name", "string", ("color_name",))),
     )

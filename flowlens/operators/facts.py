@@ -15,14 +15,49 @@ STARTED_SPRINT_STATES = ("active", "closed")
 
 # Column order of the issue fact.
 ISSUE_FACT_LAYOUT = (
-    "issue_id issue_key summary project_id project_key project_name issue_type_id issue_type "
-    "status_id status_name status_category_key status_category priority_id priority "
-    "resolution_id resolution assignee_id assignee_name reporter_id reporter_name creator_id "
-    "parent_id epic_id current_sprint_id current_sprint_name created_at updated_at resolved_at "
-    "due_date story_points original_estimate_seconds remaining_estimate_seconds "
-    "time_spent_seconds watch_count vote_count labels first_in_progress_at is_resolved "
-    "cycle_time_days lead_time_days age_days age_bucket"
-).split()
+    "issue_id",
+    "issue_key",
+    "summary",
+    "project_id",
+    "project_key",
+    "project_name",
+    "issue_type_id",
+    "issue_type",
+    "status_id",
+    "status_name",
+    "status_category_key",
+    "status_category",
+    "priority_id",
+    "priority",
+    "resolution_id",
+    "resolution",
+    "assignee_id",
+    "assignee_name",
+    "reporter_id",
+    "reporter_name",
+    "creator_id",
+    "parent_id",
+    "epic_id",
+    "current_sprint_id",
+    "current_sprint_name",
+    "created_at",
+    "updated_at",
+    "resolved_at",
+    "due_date",
+    "story_points",
+    "original_estimate_seconds",
+    "remaining_estimate_seconds",
+    "time_spent_seconds",
+    "watch_count",
+    "vote_count",
+    "labels",
+    "first_in_progress_at",
+    "is_resolved",
+    "cycle_time_days",
+    "lead_time_days",
+    "age_days",
+    "age_bucket",
+)
 
 
 def status_history(history: DataFrame, config: LayerConfig) -> DataFrame:

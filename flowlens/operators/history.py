@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.sources.columns import Target, parse_target, project
+from flowlens.sources.columns import Target, project
 
 # History columns and their source spellings.
 _HISTORY = (
-    parse_target("issue_id string!"),
-    parse_target("field_id string!"),
-    parse_target("value string: field_value value"),
-    parse_target("updated_at timestamp: updated_at ingestion_timestamp created updated"),
+    Target("issue_id", "string", ("issue_id",), required=True),
+    Target("field_id", "string", ("field_id",), required=True),
+    Target("value", "string", ("field_value", "value")),
+    Target("updated_at", "timestamp", ("updated_at", "ingestion_timestamp", "created", "updated")),
     Target("is_current", "boolean", ("is_current",), default=True),
 )
 
@@ -22,8 +22,8 @@ def multi_value_fields(fields: DataFrame) -> DataFrame:
     described = project(
         fields,
         [
-            parse_target("field_id string: id key"),
-            parse_target("schema_type string: schema_type type"),
+            Target("field_id", "string", ("id", "key")),
+            Target("schema_type", "string", ("schema_type", "type")),
         ],
     )
     return described.where(F.col("schema_type") == "array").select("field_id")

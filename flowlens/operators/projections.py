@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.expectations import Expectation, drop, fail
-from flowlens.sources.columns import Target, parse_target, project
+from flowlens.sources.columns import Target, project
 
 
 @dataclass(frozen=True)
@@ -25,270 +25,265 @@ class Projection:
         return frame.distinct() if self.distinct else frame
 
 
-def _projection(source: str, columns: str, **options) -> Projection:
-    lines = [line.strip() for line in columns.strip().splitlines()]
-    return Projection(source, tuple(parse_target(line) for line in lines), **options)
-
-
 # Target columns, their types and the source spellings tried in order.
 PROJECTIONS: dict[str, Projection] = {
-    "issue_comment": _projection(
+    "issue_comment": Projection(
         "issue_comments",
-        """
-        id string!
-        issue_id string: issue_id issueId
-        author_id string: author_account_id author
-        update_author_id string: update_author_account_id update_author
-        body string
-        created_at timestamp: created created_at
-        updated_at timestamp: updated updated_at
-        """,
+        (
+            Target("id", "string", ("id",), required=True),
+            Target("issue_id", "string", ("issue_id", "issueId")),
+            Target("author_id", "string", ("author_account_id", "author")),
+            Target("update_author_id", "string", ("update_author_account_id", "update_author")),
+            Target("body", "string", ("body",)),
+            Target("created_at", "timestamp", ("created", "created_at")),
+            Target("updated_at", "timestamp", ("updated", "updated_at")),
+        ),
     ),
-    "issue_type": _projection(
+    "issue_type": Projection(
         "issue_types",
-        """
-        id bigint!
-        name string!
-        description string
-        icon_url string
-        is_subtask boolean: subtask is_subtask
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",)),
+            Target("icon_url", "string", ("icon_url",)),
+            Target("is_subtask", "boolean", ("subtask", "is_subtask")),
+        ),
     ),
-    "project": _projection(
+    "project": Projection(
         "projects",
-        """
-        id bigint!
-        project_key string: key project_key
-        name string
-        description string
-        project_category_id bigint: project_category_id projectCategory
-        project_type_key string: project_type_key projectTypeKey
-        lead_id string: lead_account_id lead
-        url string
-        style string
-        is_archived boolean: archived is_archived
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("project_key", "string", ("key", "project_key")),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("project_category_id", "bigint", ("project_category_id", "projectCategory")),
+            Target("project_type_key", "string", ("project_type_key", "projectTypeKey")),
+            Target("lead_id", "string", ("lead_account_id", "lead")),
+            Target("url", "string", ("url",)),
+            Target("style", "string", ("style",)),
+            Target("is_archived", "boolean", ("archived", "is_archived")),
+        ),
     ),
-    "project_category": _projection(
+    "project_category": Projection(
         "project_categories",
-        """
-        id bigint!
-        name string!
-        description string
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",)),
+        ),
     ),
-    "project_role": _projection(
+    "project_role": Projection(
         "project_roles",
-        """
-        id bigint!
-        name string!
-        description string
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",)),
+        ),
     ),
-    "project_role_actor": _projection(
+    "project_role_actor": Projection(
         "project_role_actor",
-        """
-        project_id bigint: project_id projectId
-        role_id bigint: role_id roleId
-        actor_id string: actor_id actorId
-        actor_type string: actor_type actorType
-        actor_name string: actor_name actorName
-        """,
+        (
+            Target("project_id", "bigint", ("project_id", "projectId")),
+            Target("role_id", "bigint", ("role_id", "roleId")),
+            Target("actor_id", "string", ("actor_id", "actorId")),
+            Target("actor_type", "string", ("actor_type", "actorType")),
+            Target("actor_name", "string", ("actor_name", "actorName")),
+        ),
     ),
-    "user": _projection(
+    "user": Projection(
         "users",
-        """
-        account_id string: account_id id
-        display_name string: display_name displayName
-        email string: email_address email emailId
-        is_active boolean: active is_active
-        account_type string: account_type accountType
-        locale string
-        time_zone string: time_zone timeZone
-        """,
+        (
+            Target("account_id", "string", ("account_id", "id")),
+            Target("display_name", "string", ("display_name", "displayName")),
+            Target("email", "string", ("email_address", "email", "emailId")),
+            Target("is_active", "boolean", ("active", "is_active")),
+            Target("account_type", "string", ("account_type", "accountType")),
+            Target("locale", "string", ("locale",)),
+            Target("time_zone", "string", ("time_zone", "timeZone")),
+        ),
     ),
-    "priority": _projection(
+    "priority": Projection(
         "priority",
-        """
-        id bigint!
-        name string
-        description string
-        color string: status_color color
-        icon_url string
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("color", "string", ("status_color", "color")),
+            Target("icon_url", "string", ("icon_url",)),
+        ),
     ),
-    "resolution": _projection(
+    "resolution": Projection(
         "resolutions",
-        """
-        id bigint!
-        name string!
-        description string
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",)),
+        ),
     ),
-    "field": _projection(
+    "field": Projection(
         "issue_fields",
-        """
-        id string!
-        name string
-        description string
-        is_custom boolean: custom is_custom
-        schema_type string: schema_type type
-        schema_items string
-        """,
+        (
+            Target("id", "string", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("is_custom", "boolean", ("custom", "is_custom")),
+            Target("schema_type", "string", ("schema_type", "type")),
+            Target("schema_items", "string", ("schema_items",)),
+        ),
     ),
-    "issue_worklog": _projection(
+    "issue_worklog": Projection(
         "issue_worklogs",
-        """
-        id string!
-        issue_id string: issue_id issueId
-        author_id string: author_account_id author_id author
-        time_spent_seconds bigint
-        started_at timestamp: started started_at
-        created_at timestamp: created created_at
-        updated_at timestamp: updated updated_at
-        comment string
-        """,
+        (
+            Target("id", "string", ("id",), required=True),
+            Target("issue_id", "string", ("issue_id", "issueId")),
+            Target("author_id", "string", ("author_account_id", "author_id", "author")),
+            Target("time_spent_seconds", "bigint", ("time_spent_seconds",)),
+            Target("started_at", "timestamp", ("started", "started_at")),
+            Target("created_at", "timestamp", ("created", "created_at")),
+            Target("updated_at", "timestamp", ("updated", "updated_at")),
+            Target("comment", "string", ("comment",)),
+        ),
     ),
-    "issue_watcher": _projection(
+    "issue_watcher": Projection(
         "issue_watchers",
-        """
-        issue_id string: issue_id issueId
-        watcher_id string: watcher_account_id userId watcher_id
-        """,
+        (
+            Target("issue_id", "string", ("issue_id", "issueId")),
+            Target("watcher_id", "string", ("watcher_account_id", "userId", "watcher_id")),
+        ),
     ),
-    "component": _projection(
+    "component": Projection(
         "project_components",
-        """
-        id bigint!
-        name string
-        description string
-        lead_id string: lead_account_id lead
-        project_id bigint: project_id projectId
-        assignee_type string: assignee_type assigneeType
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("lead_id", "string", ("lead_account_id", "lead")),
+            Target("project_id", "bigint", ("project_id", "projectId")),
+            Target("assignee_type", "string", ("assignee_type", "assigneeType")),
+        ),
     ),
-    "version": _projection(
+    "version": Projection(
         "version",
-        """
-        id bigint!
-        name string
-        description string
-        is_archived boolean: archived
-        is_released boolean: released
-        release_date date
-        start_date date
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("is_archived", "boolean", ("archived",)),
+            Target("is_released", "boolean", ("released",)),
+            Target("release_date", "date", ("release_date",)),
+            Target("start_date", "date", ("start_date",)),
+        ),
     ),
-    "board": _projection(
+    "board": Projection(
         "boards",
-        """
-        id bigint!
-        name string
-        board_type string: type board_type
-        project_id bigint: project_id projectId
-        filter_id bigint: filter_id filterId
-        location_type string: location_type location
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",)),
+            Target("board_type", "string", ("type", "board_type")),
+            Target("project_id", "bigint", ("project_id", "projectId")),
+            Target("filter_id", "bigint", ("filter_id", "filterId")),
+            Target("location_type", "string", ("location_type", "location")),
+        ),
     ),
-    "project_board": _projection(
+    "project_board": Projection(
         "project_board",
-        """
-        project_id bigint: project_id projectId
-        board_id bigint: board_id boardId
-        """,
+        (
+            Target("project_id", "bigint", ("project_id", "projectId")),
+            Target("board_id", "bigint", ("board_id", "boardId")),
+        ),
     ),
-    "sprint": _projection(
+    "sprint": Projection(
         "sprints",
-        """
-        id bigint!
-        board_id bigint: board_id boardId
-        name string
-        state string
-        start_date timestamp: start_date startDate
-        end_date timestamp: end_date endDate
-        complete_date timestamp: complete_date completeDate
-        goal string
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("board_id", "bigint", ("board_id", "boardId")),
+            Target("name", "string", ("name",)),
+            Target("state", "string", ("state",)),
+            Target("start_date", "timestamp", ("start_date", "startDate")),
+            Target("end_date", "timestamp", ("end_date", "endDate")),
+            Target("complete_date", "timestamp", ("complete_date", "completeDate")),
+            Target("goal", "string", ("goal",)),
+        ),
     ),
-    "user_group": _projection(
+    "user_group": Projection(
         "user_group",
-        """
-        account_id string
-        group_id string
-        group_name string
-        """,
+        (
+            Target("account_id", "string", ("account_id",)),
+            Target("group_id", "string", ("group_id",)),
+            Target("group_name", "string", ("group_name",)),
+        ),
     ),
-    "application_role": _projection(
+    "application_role": Projection(
         "application_roles",
-        """
-        application_role_key string!: key
-        name string
-        description string
-        user_count int
-        group_count int
-        """,
+        (
+            Target("application_role_key", "string", ("key",), required=True),
+            Target("name", "string", ("name",)),
+            Target("description", "string", ("description",)),
+            Target("user_count", "int", ("user_count",)),
+            Target("group_count", "int", ("group_count",)),
+        ),
     ),
-    "permission_scheme": _projection(
+    "permission_scheme": Projection(
         "permission_schemes",
-        """
-        id bigint!
-        name string!
-        description string!
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",), required=True),
+        ),
     ),
-    "security_scheme": _projection(
+    "security_scheme": Projection(
         "security_schemes",
-        """
-        id bigint!
-        name string!
-        description string!
-        default_security_level_id bigint
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",), required=True),
+            Target("default_security_level_id", "bigint", ("default_security_level_id",)),
+        ),
     ),
-    "security_level": _projection(
+    "security_level": Projection(
         "security_level",
-        """
-        id bigint!
-        name string!
-        description string!
-        security_scheme_id bigint
-        """,
+        (
+            Target("id", "bigint", ("id",), required=True),
+            Target("name", "string", ("name",), required=True),
+            Target("description", "string", ("description",), required=True),
+            Target("security_scheme_id", "bigint", ("security_scheme_id",)),
+        ),
     ),
-    "project_permission": _projection(
+    "project_permission": Projection(
         "project_permissions",
-        """
-        project_id bigint
-        permission string
-        holder_type string
-        holder_value string
-        """,
+        (
+            Target("project_id", "bigint", ("project_id",)),
+            Target("permission", "string", ("permission",)),
+            Target("holder_type", "string", ("holder_type",)),
+            Target("holder_value", "string", ("holder_value",)),
+        ),
     ),
     # Lookups derived from a bridge-like source by removing repeats.
-    "group": _projection(
+    "group": Projection(
         "user_group",
-        """
-        id string: group_id
-        name string: group_name
-        """,
+        (
+            Target("id", "string", ("group_id",)),
+            Target("name", "string", ("group_name",)),
+        ),
         distinct=True,
         present="id",
     ),
-    "project_version": _projection(
+    "project_version": Projection(
         "version",
-        """
-        project_id bigint
-        version_id bigint!: id
-        """,
+        (
+            Target("project_id", "bigint", ("project_id",)),
+            Target("version_id", "bigint", ("id",), required=True),
+        ),
         distinct=True,
     ),
-    "issue_link_type": _projection(
+    "issue_link_type": Projection(
         "issue_links",
-        """
-        id bigint: link_type_id
-        name string: link_type_name relationship
-        inward_description string: inward inward_description
-        outward_description string: outward outward_description
-        """,
+        (
+            Target("id", "bigint", ("link_type_id",)),
+            Target("name", "string", ("link_type_name", "relationship")),
+            Target("inward_description", "string", ("inward", "inward_description")),
+            Target("outward_description", "string", ("outward", "outward_description")),
+        ),
         distinct=True,
         present="name",
     ),

@@ -221,41 +221,55 @@ LISTINGS: dict[str, tuple[str, str, dict[str, str]]] = {
         "portfolio",
         "ds_project_health",
         {
-            name: name
-            for name in (
-                "project_key project_name open_issues open_critical stale_open created_last_30d "
-                "resolved_last_30d net_backlog_30d flow_ratio_30d avg_cycle_time_days"
-            ).split()
+            "project_key": "project_key",
+            "project_name": "project_name",
+            "open_issues": "open_issues",
+            "open_critical": "open_critical",
+            "stale_open": "stale_open",
+            "created_last_30d": "created_last_30d",
+            "resolved_last_30d": "resolved_last_30d",
+            "net_backlog_30d": "net_backlog_30d",
+            "flow_ratio_30d": "flow_ratio_30d",
+            "avg_cycle_time_days": "avg_cycle_time_days",
         },
     ),
     "table_time_in_status": (
         "flow",
         "ds_time_in_status",
         {
-            name: name
-            for name in "project_key status_name p50_hours p90_hours observations".split()
+            "project_key": "project_key",
+            "status_name": "status_name",
+            "p50_hours": "p50_hours",
+            "p90_hours": "p90_hours",
+            "observations": "observations",
         },
     ),
     "table_sprint_outcomes": (
         "sprint",
         "ds_velocity",
         {
-            name: name
-            for name in (
-                "sprint_name state start_date complete_date points_in_sprint points_completed "
-                "completion_ratio issues_in_sprint issues_completed"
-            ).split()
+            "sprint_name": "sprint_name",
+            "state": "state",
+            "start_date": "start_date",
+            "complete_date": "complete_date",
+            "points_in_sprint": "points_in_sprint",
+            "points_completed": "points_completed",
+            "completion_ratio": "completion_ratio",
+            "issues_in_sprint": "issues_in_sprint",
+            "issues_completed": "issues_completed",
         },
     ),
     "table_assignee_scorecard": (
         "team",
         "ds_team_prod",
         {
-            name: name
-            for name in (
-                "assignee_name resolved_30d resolved_90d open_now open_critical "
-                "avg_cycle_time_days avg_lead_time_days"
-            ).split()
+            "assignee_name": "assignee_name",
+            "resolved_30d": "resolved_30d",
+            "resolved_90d": "resolved_90d",
+            "open_now": "open_now",
+            "open_critical": "open_critical",
+            "avg_cycle_time_days": "avg_cycle_time_days",
+            "avg_lead_time_days": "avg_lead_time_days",
         },
     ),
 }

@@ -78,6 +78,7 @@ def _user_join(name: str, key: str) -> Join:
     return Join(name, "dim_user", source(key), "account_id")
 
 
+# Fixed values, here and in the views below: names and synonyms of fields and measures.
 def issue_view(config: LayerConfig) -> MetricView:
     resolved = source("is_resolved")
     unresolved = ~resolved

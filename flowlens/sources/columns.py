@@ -41,18 +41,3 @@ def resolve(columns: Iterable[str], target: Target) -> Column:
 def project(source: DataFrame, targets: Iterable[Target]) -> DataFrame:
     columns = source.columns
     return source.select(*[resolve(columns, target) for target in targets])
-
-
-def parse_target(text: str) -> Target:
-    """Read ``name type: first_source second_source``; ``!`` after the type requires one.
-
-    Without sources the column is looked up under its own name.
-    """
-    head, _, tail = text.partition(":")
-    name, kind = head.split()
-    return Target(
-        name=name,
-        type=kind.rstrip("!"),
-        sources=tuple(tail.split()) or (name,),
-        required=kind.endswith("!"),
-    )

@@ -19,9 +19,18 @@ SAMPLE_AS_OF = "2001-08-02 00:00:00"
 # Raw tables to land before use: those costly to derive, and the lookups, so
 # that the planner knows how small they are and broadcasts them.
 LANDED = (
-    "issues sprints version projects status status_category priority issue_types resolutions "
-    "issue_fields boards"
-).split()
+    "issues",
+    "sprints",
+    "version",
+    "projects",
+    "status",
+    "status_category",
+    "priority",
+    "issue_types",
+    "resolutions",
+    "issue_fields",
+    "boards",
+)
 
 FIRST_YEAR = 1995
 

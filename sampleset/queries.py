@@ -20,7 +20,7 @@ from flowlens.plans.pipeline import GOLD, SILVER, STEPS, Pipeline
 from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
 from flowlens.session import configure, folder_bytes, remove_folder, shared_folder
-from flowlens.sources.columns import parse_target, project
+from flowlens.sources.columns import Target, project
 from flowlens.sources.sample import LANDED, SAMPLE_AS_OF, SampleSource
 from flowlens.sources.sinks import FolderStore
 
@@ -114,11 +114,11 @@ def _resolved_columns(layer: MetricLayer) -> DataFrame:
     """Three spellings of the issue source brought to one shape."""
     issues = layer.pipeline.bronze("issues")
     targets = [
-        parse_target("id string!"),
-        parse_target("issue_key string: key issue_key"),
-        parse_target("created_at timestamp: created created_at"),
-        parse_target("resolved_at timestamp: resolutionDate resolutiondate resolved resolved_at"),
-        parse_target("environment string"),
+        Target("id", "string", ("id",), required=True),
+        Target("issue_key", "string", ("key", "issue_key")),
+        Target("created_at", "timestamp", ("created", "created_at")),
+        Target("resolved_at", "timestamp", ("resolutionDate", "resolutiondate", "resolved", "resolved_at")),
+        Target("environment", "string", ("environment",)),
     ]
     legacy = issues.select(
         "id",

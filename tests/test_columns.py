@@ -2,18 +2,18 @@ import pytest
 from pyspark.sql import types as T
 
 from flowlens.config import LayerConfig
-from flowlens.sources.columns import MissingColumn, Target, parse_target, present_name, project
+from flowlens.sources.columns import MissingColumn, Target, present_name, project
 
 
 def test_first_present_spelling_wins(spark):
     frame = spark.createDataFrame([("a", "b")], "issue_key string, key string")
-    row = project(frame, [parse_target("issue_key string: key issue_key")]).first()
+    row = project(frame, [Target("issue_key", "string", ("key", "issue_key"))]).first()
     assert row.issue_key == "b"
 
 
 def test_missing_column_is_a_typed_null(spark):
     frame = spark.createDataFrame([(1,)], "id int")
-    result = project(frame, [parse_target("id string!"), parse_target("icon_url string")])
+    result = project(frame, [Target("id", "string", ("id",), required=True), Target("icon_url", "string", ("icon_url",))])
     assert result.schema["icon_url"].dataType == T.StringType()
     assert result.first().asDict() == {"id": "1", "icon_url": None}
 
@@ -27,7 +27,7 @@ def test_default_is_used_when_no_source_is_present(spark):
 def test_required_column_must_exist(spark):
     frame = spark.createDataFrame([(1,)], "other int")
     with pytest.raises(MissingColumn, match="id"):
-        project(frame, [parse_target("id bigint!")])
+        project(frame, [Target("id", "bigint", ("id",), required=True)])
 
 
 def test_names_are_matched_exactly():

@@ -67,7 +67,7 @@ def test_a_repeated_lookup_name_repeats_the_issue(spark):
 )
 def test_spellings_give_one_schema(spark, schema, row):
     result = entities.issue(**frames(spark, [row], schema))
-    assert result.columns == entities.ISSUE_LAYOUT
+    assert tuple(result.columns) == entities.ISSUE_LAYOUT
     assert "void" not in dict(result.dtypes).values()
     assert result.first().issue_key == "K"
 
