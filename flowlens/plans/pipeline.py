@@ -122,10 +122,13 @@ GOLD = {
     ),
 }
 
+# Shared tables of the metric views; views over gold, never stored.
+METRICS = {"created_resolved_daily": node(aggregates.created_resolved_daily, "gold.fct_issue")}
+
 # Tables written at a time by one request.
 SIDE_BY_SIDE = 8
 
-LAYERS = {"silver": SILVER, "step": STEPS, "gold": GOLD}
+LAYERS = {"silver": SILVER, "step": STEPS, "gold": GOLD, "metrics": METRICS}
 
 
 class Pipeline:
@@ -159,6 +162,9 @@ class Pipeline:
     def gold(self, name: str) -> DataFrame:
         return self.table(f"gold.{name}")
 
+    def metrics(self, name: str) -> DataFrame:
+        return self.table(f"metrics.{name}")
+
     def table(self, key: str) -> DataFrame:
         """A table by ``layer.name``, made on first use by whichever thread asks first."""
         with self._lock:

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 
 from flowlens.operators.aggregates import created_resolved_daily
-from flowlens.plans.pipeline import Pipeline
+from flowlens.plans.pipeline import METRICS, Pipeline
 from flowlens.semantic.model import BoundView, MetricView
 from flowlens.semantic.views import all_views
 
@@ -22,9 +22,15 @@ class MetricLayer:
         return all_views(self.config)
 
     def table(self, name: str) -> DataFrame:
-        if name == "created_resolved_daily":
-            return created_resolved_daily(self.pipeline.gold("fct_issue"))
-        return self.pipeline.gold(name)
+        return self.pipeline.metrics(name) if name in METRICS else self.pipeline.gold(name)
+
+    def publish(self) -> list[str]:
+        """Make the shared tables temporary views ``vw_<table>`` of Spark SQL; returns their names."""
+        names = []
+        for table in METRICS:
+            names.append(f"vw_{table}")
+            self.table(table).createOrReplaceTempView(names[-1])
+        return names
 
     def view(self, name: str) -> BoundView:
         return BoundView(self.views[f"metric_{name}"], self.table)

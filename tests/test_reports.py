@@ -64,6 +64,12 @@ def test_created_flow_counts_every_issue(layer):
     assert total == layer.pipeline.gold("fct_issue").count()
 
 
+def test_shared_tables_of_the_views_are_reached_by_sql(spark, layer):
+    assert layer.publish() == ["vw_created_resolved_daily"]
+    counted = spark.sql("SELECT sum(resolved_issues) FROM vw_created_resolved_daily").first()[0]
+    assert counted == layer.pipeline.gold("fct_issue").where("is_resolved").count()
+
+
 def test_missing_cycle_time_falls_into_the_last_bucket(layer):
     rows = DATASETS["ds_issue_resolved_180"](layer)
     missing = rows.where(F.col("cycle_time_days").isNull())
