@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import components, land
+from flowlens.llm.overlap import key_of, similar_texts
 
 SHINGLE = 4
 SEED = 42
@@ -170,29 +171,38 @@ def hex_of(fp: Column) -> Column:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id.
 
-    A row that occurs several times stays once, and so does a doc_id with several
-    texts in one component.  Where all rows of a component lack a doc_id, one of
-    them stays.  An empty table stays empty; all columns stay as they are.
+    Components link texts with a five-word shingle similarity of 0.8 or more
+    (``overlap.similar_texts``); fingerprints take no part.  One row stays of each
+    component, also where it occurs several times, where its doc_id has several texts
+    in the component or one in another component, and where no row has a doc_id.  An
+    empty table stays empty; all columns stay as they are.
     """
-    found = land(near_duplicates(docs), "found")
-    ids = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    ids = land(ids.withColumnRenamed("doc_id", "__kept"), "kept")
-    single, repeated = ids.where("rows = 1"), land(ids.where("rows > 1"), "repeated")
-    nameless = land(
-        found.where("component_id is null and fp = root").select(F.col("fp").alias("__kept")).distinct(),
-        "nameless",
+    key = key_of(docs["text"])
+    texts = docs.groupBy(key.alias("key")).agg(F.min("doc_id").alias("first"))
+    texts = land(texts, "texts")
+    found = land(similar_texts(docs), "similar")
+    # The smallest doc_id of a component, with the smallest of its texts; null comes last.
+    rank = F.struct(F.col("first").isNull(), F.col("first"), F.col("key"))
+    best = texts.join(found.hint("merge"), texts["key"] == found["node"], "left")
+    best = best.groupBy(F.coalesce("root", "key").alias("of")).agg(F.min(rank).alias("best"))
+    best = best.select(F.col("best.first").alias("__kept"), F.col("best.key").alias("__text"))
+    best = land(best, "kept")
+    # The ids kept grow with the corpus, so they are never broadcast: the hint
+    # keeps the plan the same at every size.
+    same = key.eqNullSafe(F.col("__text")) & docs["doc_id"].eqNullSafe(F.col("__kept"))
+    counts = docs.groupBy(key.alias("__text"), docs["doc_id"].alias("__kept")).count()
+    twice = land(counts.where("count > 1").select("__kept", "__text"), "twice")
+    both = twice.alias("t").join(
+        best.alias("b"),
+        (F.col("t.__text") == F.col("b.__text")) & F.col("t.__kept").eqNullSafe(F.col("b.__kept")),
+        "left_semi",
     )
-
-    def rows_of(keep: DataFrame, key: Column) -> DataFrame:
-        # The ids kept grow with the corpus, so they are never broadcast: the hint
-        # keeps the plan the same at every size.
-        return docs.join(keep.select("__kept").hint("merge"), key == F.col("__kept"), "left_semi")
-
-    kept = rows_of(single, docs["doc_id"])
-    if not repeated.isEmpty():
-        kept = kept.unionByName(rows_of(repeated, docs["doc_id"]).dropDuplicates(["doc_id"]))
-    if not nameless.isEmpty():
-        rows = docs.where(docs["doc_id"].isNull()).withColumn("__fp", _fingerprint(docs["text"]))
-        rows = rows.join(nameless, F.col("__fp") == F.col("__kept"), "left_semi")
-        kept = kept.unionByName(rows.dropDuplicates(["__fp"]).drop("__fp"))
-    return kept
+    repeated = land(both, "repeated")
+    if repeated.isEmpty():
+        return docs.join(best.hint("merge"), same, "left_semi")
+    at = (best["__text"] == repeated["__text"]) & best["__kept"].eqNullSafe(repeated["__kept"])
+    single = land(best.join(repeated, at, "left_anti"), "single")
+    kept = docs.join(single.hint("merge"), same, "left_semi")
+    rows = docs.join(repeated.hint("merge"), same, "left_semi")
+    rows = rows.withColumn("__text", key_of(F.col("text"))).dropDuplicates(["doc_id", "__text"])
+    return kept.unionByName(rows.drop("__text"))

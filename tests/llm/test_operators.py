@@ -121,6 +121,32 @@ def test_keep_one_keeps_one_row_of_each_group(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_links_every_pair_of_similar_shingle_sets(spark):
+    draw = random.Random(7)
+    texts = []
+    for _ in range(25):
+        words = [f"w{draw.randrange(4000)}" for _ in range(draw.choice([9, 40, 120]))]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            other = list(words)
+            for _ in range(draw.randint(1, 4)):
+                other[draw.randrange(len(other))] = f"x{draw.randrange(4000)}"
+            texts.append(" ".join(other[: len(other) - draw.randint(0, 9)]))
+    texts += [f"{' '.join(f'c{i}' for i in range(30))} {i} {i + 1}" for i in range(40)] + ODD
+    sets = []
+    for text in texts:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            if root[a] != root[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    kept = simhash.keep_one(documents(spark, texts)).collect()
+    assert sorted(row.doc_id for row in kept) == sorted(set(root)) and len(set(root)) < len(texts) - 50
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 200 + i) for i in range(50)] + [(7, 7)]
