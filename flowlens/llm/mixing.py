@@ -10,6 +10,8 @@ a global random order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from flowlens.llm.common import attach, land, let
 
 SEED = "mix-1"
 POWER = 0.5  # target shares are the sources' own shares to this power
-# Rates at and beyond this are refused: exp(-rate) would no longer be exact.
+# From this rate on the sum starts at a later term: exp(-rate) would no longer be exact.
 LARGEST_RATE = 500.0
 
 
@@ -32,12 +34,16 @@ def poisson(rate: Column, at: Column) -> Column:
 
     The sum is folded term by term up to a count beyond which less than 1e-15 of
     the distribution lies (mean + 40 + 12 deviations); the fold stops changing
-    once the count is found.
+    once the count is found.  From ``LARGEST_RATE`` on the fold starts as far below
+    the mean (12 deviations and 40, more than 100), where as little lies, at a term from
+    logarithms.
     """
+    large = rate >= LARGEST_RATE
     last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    start = F.struct(
-        F.lit(0).alias("count"), F.exp(-rate).alias("term"), F.exp(-rate).alias("sum")
-    )
+    low = F.greatest(F.lit(1), F.floor(rate - 12 * F.sqrt(rate) - 40).cast("int"))
+    begin = F.when(large, low).otherwise(0)
+    term = F.when(large, F.exp(_log_term(rate, low))).otherwise(F.exp(-rate))
+    start = F.struct(begin.alias("count"), term.alias("term"), term.alias("sum"))
 
     def step(state: Column, k: Column) -> Column:
         term = state["term"] * rate / k
@@ -46,7 +52,19 @@ def poisson(rate: Column, at: Column) -> Column:
             F.struct(k.alias("count"), term.alias("term"), (state["sum"] + term).alias("sum")),
         ).otherwise(state)
 
-    return F.aggregate(F.sequence(F.lit(1), last), start, step)["count"]
+    return F.aggregate(F.sequence(begin + 1, last), start, step)["count"]
+
+
+def _log_term(rate: Column, count: Column) -> Column:
+    """Logarithm of the Poisson probability of a count over 100, from Stirling's series.
+
+    The series' first left-out term is below 1e-17 there.
+    """
+    n = count.cast("double")
+    series = 1 / (12 * n) - 1 / (360 * n * n * n) + 1 / (1260 * n * n * n * n * n)
+    # n * ln(rate / n) + n - rate is kept as one small number.
+    away = (rate - n) / n
+    return n * (F.log1p(away) - away) - 0.5 * F.log(2 * F.lit(math.pi) * n) - series
 
 
 def source_rates(
@@ -75,10 +93,7 @@ def source_rates(
         return wished.select("source", F.lit(0.0).alias("rate"))
     scale = budget * (present or 0) / wishes
     rate = F.col("wanted") * F.lit(float(scale)) / F.col("mass")
-    checked = F.when(rate < LARGEST_RATE, rate).otherwise(
-        F.raise_error(F.lit("a source's rate is too large to replicate")).cast("double")
-    )
-    return wished.select("source", checked.alias("rate"))
+    return wished.select("source", rate.alias("rate"))
 
 
 def mix(

@@ -355,6 +355,27 @@ def test_poisson_inverse_matches_the_distribution(spark):
     assert all(abs(counts[k] / 20_000 - p) < 1e-3 for k, p in wanted.items())
 
 
+def test_mixing_repeats_a_short_source_beside_large_ones(spark):
+    texts = [f"{i} {'word ' * 2000}" for i in range(100)]
+    docs = documents(spark, texts).withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 2).cast("string")))
+    lone = spark.createDataFrame([(-1, "", "en", None, 0)], DOCS)
+    rates = {row.source: row.rate for row in mixing.source_rates(docs.unionByName(lone)).collect()}
+    counts = Counter(row.source for row in mixing.mix(docs.unionByName(lone)).select("source").collect())
+    assert rates[None] > mixing.LARGEST_RATE
+    assert abs(counts[None] - rates[None]) <= 6 * rates[None] ** 0.5 and counts["s0"] and counts["s1"]
+
+
+def test_poisson_inverse_of_large_rates(spark):
+    frame = spark.range(1, 200).select((F.col("id") / 200).alias("at"))
+    for rate in (499.9, 500.0, 700.0, 900.5, 4000.0, 30_000.0):
+        found = {row["at"]: row.k for row in frame.select("at", mixing.poisson(F.lit(rate), F.col("at")).alias("k")).collect()}
+        logs = np.arange(1, int(2 * rate) + 200)
+        logs = np.concatenate([[-rate], -rate + np.cumsum(np.log(rate / logs))])
+        totals = np.cumsum(np.exp(logs))
+        for at, k in found.items():
+            assert totals[k] > at - 1e-9 and (k == 0 or totals[k - 1] <= at + 1e-9)
+
+
 def test_decontamination_matches_brute_force(spark):
     docs, items = sample(spark, "documents"), sample(spark, "benchmark")
     texts = {row.item_id: row.text for row in items.collect()}
