@@ -40,9 +40,10 @@ _KNOWN_PIECES = 300_000
 _KNOWN_PARTS = 600_000
 # Blanks other than the space and the line feed.
 _OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_RUNS = ("  ", " \n", "\n ")
 # Marks a piece that stands as it is; a piece without it has a space before it.
 _AS_IS = "\0"
+# What a text holds where its words are not all after one space, or would look marked.
+_RUNS = ("  ", " \n", "\n ", " " + _AS_IS)
 _CHUNKS = re.compile(r"\s*\S+|\s+")
 # A word of letters, maybe with punctuation behind it: the pre-tokenizer always parts the two.
 _STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([#*$%&|!,.;:?]*)")

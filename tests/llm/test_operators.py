@@ -429,3 +429,16 @@ def test_encoder_matches_whole_texts_while_it_forgets(monkeypatch):
         some = texts[begin : begin + 50]
         expected = [found.ids for found in library.encode_batch(some, add_special_tokens=False)]
         assert [ids.tolist() for ids in encoder.encode(some)] == expected
+
+
+def test_encoder_matches_whole_texts_with_nul():
+    from tokenizers import Tokenizer
+
+    draw = random.Random(6)
+    texts = ["a \0b", "\0", "\0a b", "a \0", "a \0 b", "\0\0 \0\0b c", "a\0 b\0c\n\0d"]
+    for _ in range(300):
+        words = ["".join(draw.choices("abXé\0\0.,'1", k=draw.randint(1, 5))) for _ in range(draw.randint(1, 12))]
+        texts += [" ".join(words), "".join(word + draw.choice([" ", " ", "  ", "\n", "\t"]) for word in words)]
+    encoder, library = tokens.Encoder(tokenizer()), Tokenizer.from_file(tokenizer())
+    expected = [found.ids for found in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected and expected[0] == [64, 220, 188, 65]
