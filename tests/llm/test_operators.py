@@ -147,6 +147,14 @@ def test_keep_one_links_every_pair_of_similar_shingle_sets(spark):
     assert sorted(row.doc_id for row in kept) == sorted(set(root)) and len(set(root)) < len(texts) - 50
 
 
+def test_keep_one_with_one_id_in_two_components(spark):
+    both = [(1, "a b c d e f"), (2, "a b c d e f"), (1, "k l m n o p"), (3, "k l m n o p")]
+    least_of_one = [(5, "q r s t u v"), (6, "q r s t u v"), (5, "g h i j k l"), (4, "g h i j k l")]
+    docs = spark.createDataFrame([(i, text, "en", "s", 1) for i, text in both + least_of_one], DOCS)
+    kept = sorted((row.doc_id, row.text[0]) for row in simhash.keep_one(docs).collect())
+    assert kept == [(1, "a"), (1, "k"), (4, "g"), (5, "q")]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 200 + i) for i in range(50)] + [(7, 7)]
