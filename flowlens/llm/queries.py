@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import chat, decontam, mixing, quality, rules, sharding, simhash, tokens, toxicity, urls
+from flowlens.llm import (
+    chat,
+    decontam,
+    mixing,
+    negatives,
+    quality,
+    rules,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+    urls,
+)
 from flowlens.llm.common import ship
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -98,6 +110,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return negatives.hard_negatives(
+        rows.withColumn("label", negatives.relabelled(F.col("vec_id"), F.col("label")))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -111,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_quality,
         op10_mixing,
+        op12_negatives,
     )
 }
 
@@ -142,5 +162,28 @@ SELECT doc_id, text, lang, source, n_chars, mix_copy::INTEGER AS mix_copy,
 FROM (SELECT *, unnest(range(1, copies + 1)) AS mix_copy FROM counted)
 """
 
+_NEGATIVES_SQL = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM used a JOIN used r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT * FROM ranked WHERE rank <= 3
+"""
+
 # Listed rules only decide where they fit; the learned verdict has no SQL here.
-ORACLE: dict[str, str] = {"op10_mixing": _MIXING_SQL}
+ORACLE: dict[str, str] = {"op10_mixing": _MIXING_SQL, "op12_negatives": _NEGATIVES_SQL}
