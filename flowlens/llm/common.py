@@ -47,6 +47,15 @@ def land(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def drop_landed(*frames: DataFrame) -> None:
+    """Delete tables that ``land`` wrote, once all that reads them is written itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for root in {file.rsplit("/", 2)[0] for file in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application."""
     context = spark.sparkContext

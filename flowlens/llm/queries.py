@@ -13,6 +13,7 @@ from flowlens.llm import (
     mixing,
     negatives,
     quality,
+    repeats,
     rules,
     sharding,
     simhash,
@@ -117,6 +118,10 @@ def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_mixing,
         op12_negatives,
+        op13_repeats,
     )
 }
 
