@@ -12,6 +12,7 @@ from flowlens.llm import (
     decontam,
     mixing,
     negatives,
+    prefixes,
     quality,
     repeats,
     rules,
@@ -111,6 +112,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    given = prefixes.sequences(table(spark, folder, "conversations"))
+    return prefixes.prefix_trie(prefixes.rebuilt(given))
+
+
 def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return negatives.hard_negatives(
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_quality,
         op10_mixing,
+        op11_prefixes,
         op12_negatives,
         op13_repeats,
     )
@@ -168,6 +175,44 @@ SELECT doc_id, text, lang, source, n_chars, mix_copy::INTEGER AS mix_copy,
 FROM (SELECT *, unnest(range(1, copies + 1)) AS mix_copy FROM counted)
 """
 
+# CRC-32 byte by byte from its table; a prefix is a list of turns.
+_PREFIXES_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entry
+), own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+  SELECT conv_id, turns, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, x: xor(c >> 8, entry[(xor(c, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM own, crc
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), members AS (
+  SELECT conv_id, len(turns) AS n, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt
+), nodes AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth) AS ends
+  FROM members GROUP BY ALL
+), children AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE
+    (n.n_convs - 1) * strlen(n.path[-1].text) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.path = n.path
+), sums AS (
+  SELECT path[1:above] AS path, sum(saved) AS saved_tokens, sum((n_children = 0)::BIGINT) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS above FROM counted) GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN sums s ON s.path = c.path
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""
+
 _NEGATIVES_SQL = """
 WITH used AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -192,4 +237,8 @@ SELECT * FROM ranked WHERE rank <= 3
 """
 
 # Listed rules only decide where they fit; the learned verdict has no SQL here.
-ORACLE: dict[str, str] = {"op10_mixing": _MIXING_SQL, "op12_negatives": _NEGATIVES_SQL}
+ORACLE: dict[str, str] = {
+    "op10_mixing": _MIXING_SQL,
+    "op11_prefixes": _PREFIXES_SQL,
+    "op12_negatives": _NEGATIVES_SQL,
+}
