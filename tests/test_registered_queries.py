@@ -7,10 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from sampleset.compare import differences
+from sampleset.oracle import ORACLE
+from sampleset.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
