@@ -1,6 +1,6 @@
 """Removal of byte strings that occur more than once, by suffix arrays of what may repeat.
 
-Every 400-byte string has a seed: the substring of 100 bytes with the smallest hash in
+Every 400-byte string has a seed: the substring of 200 bytes with the smallest hash in
 it, the leftmost of equals.  Equal strings have equal seeds at equal places, so a string
 repeats only among the strings of its seed.  Neighbouring strings mostly share a seed;
 a piece is the text of such a run, and the corpus is tiled with pieces once.
@@ -9,7 +9,9 @@ A seed that occurs once has no repeats.  A seed whose pieces are all equal repea
 whole; equal pieces of other seeds do so too, and one of them stands for all.  Only
 pieces that differ and share a seed need a closer look: they are the edges of copies.
 Their texts are fetched, and the suffix array of a seed's pieces (``suffixes``) brings
-equal strings together: neighbours in it that agree in 400 bytes are repeats.
+equal strings together: neighbours in it that agree in 400 bytes are repeats.  As all
+pieces of a suffix array hold the seed, and equal strings hold it at one place, one
+symbol stands for it there.
 
 A seed may be very frequent, such as a line that a third of all documents hold.  The
 strings of such a seed are dealt by their place relative to it into halves, quarters
@@ -32,7 +34,7 @@ from flowlens.llm.common import drop_landed, land
 from flowlens.llm.suffixes import suffix_array
 
 LENGTH = 400
-SEED = 100
+SEED = 200
 # Bytes of one suffix array at most, bytes of one task's groups, bytes hashed at a time.
 GROUP_BYTES = 1 << 19
 TASK_BYTES = 1 << 20
@@ -214,33 +216,36 @@ def _rows(rows: list[dict], schema: str) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows[start : start + 2000], schema=fields)
 
 
-def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece, the starts of its strings that occur elsewhere in these pieces."""
+def repeated_starts(pieces: list[bytes], seeds: list[int]) -> list[np.ndarray]:
+    """For each piece, the starts of its strings that occur elsewhere in these pieces.
+
+    ``seeds`` are the places of the seed they share; no string starts behind it.
+    """
     marked = len(pieces)
     symbols = []
-    for number, piece in enumerate(pieces):
-        symbols.append(np.frombuffer(piece, np.uint8).astype(np.int64) + marked)
+    for number, (piece, at) in enumerate(zip(pieces, seeds)):
+        data = np.frombuffer(piece, np.uint8).astype(np.int64) + marked
         # A sign of its own ends each piece; the last is the smallest of all.
-        symbols.append(np.array([marked - 1 - number]))
+        symbols += [data[:at], [marked + 256], data[at + SEED :], [marked - 1 - number]]
     whole = np.concatenate(symbols)
-    sizes = np.array([len(piece) for piece in pieces])
-    begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+    counts = np.array([len(piece) - LENGTH + 1 for piece in pieces])
+    sizes = np.array([len(piece) - SEED + 2 for piece in pieces])
+    begins = np.cumsum(sizes) - sizes
     inside = np.zeros(len(whole), bool)
-    for begin, size in zip(begins, sizes):
-        inside[begin : begin + max(0, size - length + 1)] = True
+    for begin, count in zip(begins, counts):
+        inside[begin : begin + count] = True
     order = suffix_array(whole)
     order = order[inside[order]]
     # Suffixes with equal beginnings are neighbours.
-    strings = np.lib.stride_tricks.sliding_window_view(whole, length)
+    strings = np.lib.stride_tricks.sliding_window_view(whole, LENGTH - SEED + 1)
     equal = np.zeros(max(0, len(order) - 1), bool)
     for start in range(0, len(equal), 4096):
         left, right = order[start : start + 4096], order[start + 1 : start + 4097]
-        left = left[: len(right)]
-        equal[start : start + 4096] = (strings[left] == strings[right]).all(axis=1)
+        equal[start : start + 4096] = (strings[left[: len(right)]] == strings[right]).all(axis=1)
     hit = np.zeros(len(whole), bool)
     hit[order[:-1][equal]] = True
     hit[order[1:][equal]] = True
-    return [np.flatnonzero(hit[b : b + size]) for b, size in zip(begins, sizes)]
+    return [np.flatnonzero(hit[begin : begin + count]) for begin, count in zip(begins, counts)]
 
 
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +261,8 @@ def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             different.setdefault(row["piece"], []).append(row)
         pieces = list(different)
         out = []
-        for piece, found in zip(pieces, repeated_starts(pieces) if len(pieces) > 1 else [[]]):
+        seeds = [different[piece][0]["at"] - different[piece][0]["start"] for piece in pieces]
+        for piece, found in zip(pieces, repeated_starts(pieces, seeds) if len(pieces) > 1 else [[]]):
             rows = different[piece]
             if len(rows) > 1:
                 found = np.arange(len(piece) - LENGTH + 1)

@@ -13,6 +13,8 @@ there.  Nothing is renamed and nothing recurses; every pointer is followed once.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 
@@ -47,51 +49,73 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 def _group_by_lyndon_prefix(slots: list, place: list, group: list, size: list, before: list) -> None:
     end = len(slots)
     while end > 0:
-        begin = group[slots[end - 1]]
+        begin = end - 1
+        suffix = slots[begin]
+        if group[suffix] == begin:
+            # A group of one names one suffix.
+            left = suffix - 1
+            while left >= 0 and group[left] > begin:
+                left = before[left]
+            before[suffix] = left
+            end = begin
+            if left >= 0:
+                own = group[left]
+                length = size[own]
+                if length > 1:
+                    tail = own + length - 1
+                    other = slots[tail]
+                    if other != left:
+                        at = place[left]
+                        slots[at], place[other] = other, at
+                        slots[tail], place[left] = left, tail
+                    group[left] = tail
+                    size[own], size[tail] = length - 1, 1
+            continue
+        begin = group[suffix]
         # Pointers of one group are set from left to right, so that a suffix of the
         # same group on the way has its pointer already.
-        members = sorted(slots[begin:end]) if end - begin > 1 else (slots[begin],)
-        named: dict[int, int] = {}
+        members = slots[begin:end]
+        members.sort()
+        named: list[int] = []
         for suffix in members:
             left = suffix - 1
             while left >= 0 and group[left] >= begin:
                 left = before[left]
             before[suffix] = left
             if left >= 0:
-                named[left] = named.get(left, 0) + 1
+                named.append(left)
         end = begin
-        if not named:
-            continue
-        if len(named) == 1:
-            levels = [list(named)]
-        elif max(named.values()) == 1:
-            levels = [list(named)]
+        if len(set(named)) == len(named):
+            levels = [named]
         else:
             by_times: dict[int, list] = {}
-            for left, times in named.items():
+            for left, times in Counter(named).items():
                 by_times.setdefault(times, []).append(left)
             levels = [by_times[times] for times in sorted(by_times, reverse=True)]
         for chosen in levels:
             moved: dict[int, list] = {}
             for left in chosen:
-                moved.setdefault(group[left], []).append(left)
+                own = group[left]
+                if own in moved:
+                    moved[own].append(left)
+                else:
+                    moved[own] = [left]
             for own, suffixes in moved.items():
-                length = size[own]
-                fresh = own + length - len(suffixes)
-                if fresh == own:
+                length, count = size[own], len(suffixes)
+                if count == length:
                     continue  # the whole group moves behind itself
                 # The chosen ones change places with the others at the group's end.
                 tail = own + length
+                fresh = tail - count
                 for suffix in suffixes:
                     tail -= 1
-                    at = place[suffix]
                     other = slots[tail]
-                    slots[at], place[other] = other, at
-                    slots[tail], place[suffix] = suffix, tail
-                for suffix in suffixes:
+                    if other != suffix:
+                        at = place[suffix]
+                        slots[at], place[other] = other, at
+                        slots[tail], place[suffix] = suffix, tail
                     group[suffix] = fresh
-                size[own] = length - len(suffixes)
-                size[fresh] = len(suffixes)
+                size[own], size[fresh] = length - count, count
 
 
 def _in_order(count: int, group: list, before: list) -> list:
