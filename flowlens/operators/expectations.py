@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 FAIL = "fail"
 DROP = "drop"
+# The count of all rows, beside those of the expectations.
+ROWS = "rows"
 
 
 @dataclass(frozen=True)
@@ -52,6 +55,68 @@ def enforce(frame: DataFrame, table: str, expectations: Sequence[Expectation]) -
     return frame
 
 
+class ExpectationViolated(ValueError):
+    """Rows of a table break an expectation that must hold."""
+
+
+class Watch:
+    """Counts the rows that hold, as a side result of whatever reads the watched frame.
+
+    The counts ride along with the write of the table, so there is no second pass.  They
+    are taken where the rows are made, before any is dropped.  A task that is run again
+    after its output was lost to a later stage may count its rows twice; a table whose
+    write is its only stage counts each row once.
+    """
+
+    def __init__(self, table: str, expectations: Sequence[Expectation]):
+        self.table, self.expectations = table, list(expectations)
+        self._seen = Observation(f"{table}-{uuid.uuid4().hex}")
+
+    def over(self, frame: DataFrame) -> DataFrame:
+        passed = [F.count_if(one.holds()).alias(one.name) for one in self.expectations]
+        return frame.observe(self._seen, F.count(F.lit(1)).alias(ROWS), *passed)
+
+    def counts(self) -> dict[str, int]:
+        """Rows, and rows that hold for each expectation, once the frame was read.
+
+        Stops where an expectation that must hold does not, so that what was written is
+        not committed.
+        """
+        counts = {name: int(value) for name, value in self._seen.get.items()}
+        for one in self.expectations:
+            if one.action == FAIL and counts[one.name] < counts[ROWS]:
+                bad = counts[ROWS] - counts[one.name]
+                raise ExpectationViolated(f"expectation {one.name} violated in {self.table} by {bad} rows")
+        return counts
+
+
+def audit_lines(table: str, expectations: Sequence[Expectation], counts: Mapping[str, int]) -> list[tuple]:
+    """(table_name, expectation, action, passed, failed) from a table's counts."""
+    return [
+        (table, one.name, one.action, counts[one.name], counts[ROWS] - counts[one.name])
+        for one in expectations
+    ]
+
+
+def require(frame: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
+    """``enforce`` by one look ahead: a scan of the named columns checks all rows first.
+
+    The frame then has no barrier, so filters of later queries reach its scan.
+    """
+    must = [one for one in expectations if one.action == FAIL]
+    if must:
+        found = frame.agg(F.count(F.lit(1)).alias(ROWS), *[F.count_if(one.holds()).alias(one.name) for one in must])
+        counts = found.first().asDict()
+        for one in must:
+            if counts[one.name] < counts[ROWS]:
+                bad = counts[ROWS] - counts[one.name]
+                raise ExpectationViolated(f"expectation {one.name} violated in {table} by {bad} rows")
+    for one in expectations:
+        if one.action != FAIL:
+            frame = frame.where(F.expr(one.predicate))
+    return frame
+
+
 def audit(frame: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation with its passed and failed counts, from one scan."""
     counts = frame.agg(

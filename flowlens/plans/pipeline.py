@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from threading import Lock
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.config import LayerConfig
 from flowlens.operators import aggregates, bridges, dimensions, entities, facts, history
-from flowlens.operators.expectations import audit, enforce, union_all
+from flowlens.operators.expectations import Watch, audit, audit_lines, enforce, require, union_all
 from flowlens.operators.projections import EXPECTATIONS, PROJECTIONS
 
 
@@ -22,7 +23,13 @@ class Source(Protocol):
 
 
 class Store(Protocol):
-    def save(self, name: str, frame: DataFrame) -> DataFrame: ...
+    def save(
+        self, name: str, frame: DataFrame, counted: Callable[[], Mapping[str, int]] | None = None
+    ) -> DataFrame: ...
+
+    def commit(self) -> object: ...
+
+    def counts(self, name: str) -> Mapping[str, int]: ...
 
 
 @dataclass(frozen=True)
@@ -137,6 +144,11 @@ class Pipeline:
     Tables are built on demand.  With a store, a table that others read is
     written once and read back, so the readers share one computation and the
     planner knows its real size; without one everything stays lazy.
+
+    Row checks of stored tables are counted while the table is written, and ``build``
+    commits all tables at its end.  Without a store a check sits in the plan as a barrier;
+    ``check_ahead`` looks at the checked columns first instead, so that filters of later
+    queries reach the scans.
     """
 
     def __init__(
@@ -145,11 +157,13 @@ class Pipeline:
         config: LayerConfig | None = None,
         store: Store | None = None,
         landed: Iterable[str] = (),
+        check_ahead: bool = False,
     ):
         self.source = source
         self.config = config or LayerConfig()
         self.store = store
         self.landed = tuple(landed)
+        self.check_ahead = check_ahead
         self._lock = Lock()
         self._tables: dict[str, Future[DataFrame]] = {}
 
@@ -172,8 +186,7 @@ class Pipeline:
             table = self._tables.setdefault(key, Future())
         if mine:
             try:
-                frame = self.frame(key)
-                table.set_result(self.store.save(key, frame) if self._kept(key) else frame)
+                table.set_result(self._saved(key) if self._kept(key) else self.frame(key))
             except BaseException as error:
                 with self._lock:
                     del self._tables[key]
@@ -186,6 +199,15 @@ class Pipeline:
             layer in ("silver", "gold") or (layer == "bronze" and name in self.landed)
         )
 
+    def _saved(self, key: str) -> DataFrame:
+        layer, name = key.split(".")
+        expectations = EXPECTATIONS.get(name, ()) if layer == "silver" else ()
+        if not expectations:
+            return self.store.save(key, self.frame(key))
+        watch = Watch(name, expectations)
+        watched = enforce(watch.over(self.frame(key, checked=False)), name, expectations)
+        return self.store.save(key, watched, watch.counts)
+
     def frame(self, key: str, checked: bool = True) -> DataFrame:
         """The lazy plan of one table over its inputs, with its row checks."""
         layer, name = key.split(".")
@@ -195,7 +217,8 @@ class Pipeline:
         inputs = self.tables(made.needs)
         frame = made.build(*inputs, self.config) if made.configured else made.build(*inputs)
         if layer == "silver" and checked:
-            frame = enforce(frame, name, EXPECTATIONS.get(name, ()))
+            check = require if self.check_ahead and self.store is None else enforce
+            frame = check(frame, name, EXPECTATIONS.get(name, ()))
         return frame
 
     def tables(self, keys: Iterable[str]) -> list[DataFrame]:
@@ -217,6 +240,8 @@ class Pipeline:
             keys = [f"{layer}.{name}" for name in LAYERS[layer]]
             self.tables(keys)
             built += keys
+        if self.store is not None:
+            self.store.commit()
         return built
 
     def row_counts(self) -> DataFrame:
@@ -229,15 +254,22 @@ class Pipeline:
         )
 
     def audit(self, action: str | None = None) -> DataFrame:
-        """Passed and failed rows of every expectation, one scan per checked table."""
+        """Passed and failed rows of every expectation.
+
+        With a store, these are the counts of the tables' writes: tables not built yet are
+        built, and no row is read again.  Without one, one scan per checked table.
+        """
         wanted = {
-            name: [one for one in expectations if action in (None, one.action)]
+            name: chosen
             for name, expectations in EXPECTATIONS.items()
+            if (chosen := [one for one in expectations if action in (None, one.action)])
         }
-        return union_all(
-            [
-                audit(self.frame(f"silver.{name}", checked=False), name, expectations)
-                for name, expectations in wanted.items()
-                if expectations
-            ]
-        )
+        if self.store is None:
+            frames = [audit(self.frame(f"silver.{name}", checked=False), name, wanted[name]) for name in wanted]
+            return union_all(frames)
+        built = self.tables(f"silver.{name}" for name in wanted)
+        lines = [
+            line for name in wanted for line in audit_lines(name, wanted[name], self.store.counts(f"silver.{name}"))
+        ]
+        columns = zip(("table_name", "expectation", "action", "passed", "failed"), zip(*lines))
+        return built[0].sparkSession.createDataFrame(pa.table({name: list(values) for name, values in columns}))

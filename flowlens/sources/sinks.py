@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from flowlens.config import LayerConfig
+from flowlens.sources.snapshots import Catalogue, Snapshot, Version
+
+# Gives what was counted during a write, once the write is done.
+Counted = Callable[[], Mapping[str, int]]
 
 # Tables read through one equality predicate are sorted by that column inside
 # each written partition (no shuffle), so row-group statistics skip the rest.
@@ -36,36 +44,83 @@ def _writer(name: str, frame: DataFrame) -> DataFrameWriter:
     return writer.partitionBy(PARTITIONED[name]) if name in PARTITIONED else writer
 
 
-@dataclass(frozen=True)
 class FolderStore:
-    """Parquet folders below a root that all executors reach."""
-
-    spark: SparkSession
-    root: str
-
-    def save(self, name: str, frame: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name.replace('.', '/')}"
-        _writer(name, frame).parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+    """Parquet folders below a root that all executors reach, in versions.
+
+    ``save`` writes a table to a new folder and reads it back from there.  ``commit`` makes
+    all tables saved since the last one current at once; until then other readers of the
+    root (``SnapshotSource``) keep what they had, also where the build fails halfway.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.catalogue = Catalogue(spark, root)
+        self._saved: dict[str, Version] = {}
+        self._lock = Lock()
+
+    def save(self, name: str, frame: DataFrame, counted: Counted | None = None) -> DataFrame:
+        folder = f"{name.replace('.', '/')}/{uuid.uuid4().hex}"
+        _writer(name, frame).parquet(f"{self.root}/{folder}")
+        version = Version(folder, frame.schema.json(), counted() if counted else {})
+        with self._lock:
+            self._saved[name] = version
+        return Snapshot("", {name: version}).open(self.spark, self.root, name)
+
+    def commit(self) -> Snapshot:
+        with self._lock:
+            snapshot = self.catalogue.commit(self._saved) if self._saved else self.catalogue.current()
+            self._saved = {}
+        return snapshot
+
+    def counts(self, name: str) -> Mapping[str, int]:
+        """What was counted while the table was written last, committed or not."""
+        saved = self._saved.get(name) or self.catalogue.current().tables.get(name)
+        return saved.counts if saved else {}
 
 
 @dataclass(frozen=True)
 class CatalogStore:
-    """Catalog tables, with issue-keyed tables bucketed when a bucket count is set."""
+    """Catalog tables, with issue-keyed tables bucketed when a bucket count is set.
+
+    A table is written under another name and takes its place once it is whole, so a write
+    that fails leaves the old table.  Its counts are properties of the table.
+    """
 
     spark: SparkSession
     config: LayerConfig
     buckets: int = 0
 
-    def save(self, name: str, frame: DataFrame) -> DataFrame:
+    def save(self, name: str, frame: DataFrame, counted: Counted | None = None) -> DataFrame:
         layer, table = name.split(".")
         target = self.config.table_name(layer, table)
+        aside = self.config.table_name(layer, f"{table}__{uuid.uuid4().hex[:8]}")
         key = ISSUE_KEYED.get(name)
         if self.buckets and key:
             spread = frame.repartition(self.buckets, key)
             writer = _writer(name, spread).bucketBy(self.buckets, key).sortBy(key)
         else:
             writer = _writer(name, frame)
-        writer.saveAsTable(target)
-        self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('quality' = '{layer}')")
+        try:
+            writer.saveAsTable(aside)
+            counts = counted() if counted else {}
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {aside}")
+            raise
+        counts = json.dumps(dict(counts)).replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {aside} SET TBLPROPERTIES ('quality' = '{layer}', 'counts' = '{counts}')")
+        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+        self.spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        if name in PARTITIONED:
+            # The catalog still has the folders of the old name.
+            self.spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
         return self.spark.read.table(target).select(*frame.columns)
+
+    def commit(self) -> None:
+        """Tables take their places one by one as they are saved."""
+
+    def counts(self, name: str) -> Mapping[str, int]:
+        target = self.config.table_name(*name.split("."))
+        if not self.spark.catalog.tableExists(target):
+            return {}
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {target}").where("key = 'counts'").first()
+        return json.loads(found.value) if found else {}
