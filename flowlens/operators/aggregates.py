@@ -103,34 +103,52 @@ def agg_time_in_status(transitions: DataFrame, projects: DataFrame) -> DataFrame
 def created_resolved_daily(facts: DataFrame, first_day: Column | None = None) -> DataFrame:
     """Created and resolved issues and points per day and project.
 
-    Both sides are reduced to one row per day and project before they meet; the
-    outer join matches null days and null projects as well.  No filter gets past
-    an outer join, so readers of recent days give their ``first_day`` here and
-    older rows are skipped in both scans.
+    Each issue is up to two events, so one scan and one sum over the events give both
+    sides.  With ``first_day`` older events are left out, and issues without any later
+    one in the scan itself.  A project that goes by several keys or names has a row for
+    each pair of a created and a resolved spelling of a day; with one spelling, or on days
+    of one kind only, that is a row for each.
     """
-    keys = ["flow_date", "project_id", "project_key", "project_name"]
-
-    def per_day(rows: DataFrame, moment: str, prefix: str) -> DataFrame:
-        rows = rows.withColumn("flow_date", F.col(moment).cast("date"))
-        if first_day is not None:
-            rows = rows.where(F.col("flow_date") >= first_day)
-        return rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"{prefix}_issues"),
-            F.sum(F.coalesce("story_points", F.lit(0.0))).alias(f"{prefix}_points"),
+    was_created, was_resolved = F.col("created_at").cast("date"), F.col("resolved_at").cast("date")
+    done = F.col("is_resolved")
+    if first_day is not None:
+        facts = facts.where((was_created >= first_day) | (done & (was_resolved >= first_day)))
+    points = F.coalesce("story_points", F.lit(0.0))
+    event = lambda day, created, resolved: F.struct(
+        day.alias("flow_date"),
+        F.lit(created).cast("long").alias("created_issues"),
+        F.lit(resolved).cast("long").alias("resolved_issues"),
+        (points * created).alias("created_points"),
+        (points * resolved).alias("resolved_points"),
+    )
+    events = F.array(event(was_created, 1, 0), F.when(done, event(was_resolved, 0, 1)))
+    spelling = ["project_key", "project_name"]
+    rows = facts.select("project_id", *spelling, F.inline(F.array_compact(events)))
+    if first_day is not None:
+        rows = rows.where(F.col("flow_date") >= first_day)
+    totals = ["created_issues", "resolved_issues", "created_points", "resolved_points"]
+    sums = rows.groupBy("flow_date", "project_id", *spelling).agg(*[F.sum(name).alias(name) for name in totals])
+
+    # One row per day, project and spelling is left, so this is small.
+    days = sums.groupBy("flow_date", "project_id").agg(F.collect_list(F.struct(*spelling, *totals)).alias("of"))
+    created = F.filter("of", lambda one: one.created_issues > 0)
+    resolved = F.filter("of", lambda one: one.resolved_issues > 0)
+    paired = F.flatten(
+        F.transform(
+            created,
+            lambda one: F.transform(
+                resolved,
+                lambda other: one.withField("resolved_issues", other.resolved_issues).withField(
+                    "resolved_points", other.resolved_points
+                ),
+            ),
         )
-
-    created = per_day(facts, "created_at", "created").alias("c")
-    resolved = per_day(facts.where("is_resolved"), "resolved_at", "resolved").alias("r")
-    same = F.col("c.flow_date").eqNullSafe(F.col("r.flow_date")) & F.col(
-        "c.project_id"
-    ).eqNullSafe(F.col("r.project_id"))
-    filled = created.join(resolved, same, "full_outer").select(
-        *[F.coalesce(f"c.{key}", f"r.{key}").alias(key) for key in keys],
-        F.coalesce("created_issues", F.lit(0)).alias("created_issues"),
-        F.coalesce("resolved_issues", F.lit(0)).alias("resolved_issues"),
-        F.coalesce("created_points", F.lit(0.0)).alias("created_points"),
-        F.coalesce("resolved_points", F.lit(0.0)).alias("resolved_points"),
     )
-    return filled.withColumn(
-        "net_backlog_change", F.col("created_issues") - F.col("resolved_issues")
+    lines = F.when((F.size(created) > 0) & (F.size(resolved) > 0), paired).otherwise(F.col("of"))
+    return days.select("flow_date", "project_id", F.inline(lines)).select(
+        "flow_date",
+        "project_id",
+        *spelling,
+        *totals,
+        (F.col("created_issues") - F.col("resolved_issues")).alias("net_backlog_change"),
     )

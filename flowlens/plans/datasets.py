@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -246,6 +247,15 @@ def flow_series(layer: MetricLayer) -> DataFrame:
     return as_series(totals, ["flow_week", "project_key"], names, "issues")
 
 
+def issue_medians_merged(layer: MetricLayer) -> DataFrame:
+    """The medians of lately resolved issues from the stored summary, without the issues."""
+    return layer.summary("issue").query(
+        {"project_key": "Project Key"},
+        {"median_cycle": "Median Cycle Time (days)", "median_lead": "Median Lead Time (days)"},
+        where=lambda f: f("Lately Resolved"),
+    )
+
+
 def worklog(layer: MetricLayer) -> DataFrame:
     return layer.view("worklog").query(
         {"project_key": "Project Key", "author_name": "Author"},
@@ -270,3 +280,46 @@ DATASETS: dict[str, Callable[[MetricLayer], DataFrame]] = {
     "ds_flow_series": flow_series,
     "ds_worklog": worklog,
 }
+
+
+@dataclass(frozen=True)
+class Slice:
+    """A dataset's rows as a condition on the rows of a view; none means all of them.
+
+    ``columns`` maps the dataset's columns to the view's fields that a selector may offer.
+    """
+
+    view: str
+    columns: Mapping[str, str]
+    where: Callable[[MetricLayer], Callable[[Callable[[str], Column]], Column]] | None = None
+
+
+def _lately_moved(layer: MetricLayer) -> Callable[[Callable[[str], Column]], Column]:
+    """Issues created or resolved within the flow's window."""
+    first = layer.config.days_ago(FLOW_WINDOW_DAYS)
+    return lambda f: (f("Created Date") >= first) | (f("Is Resolved") & (f("Resolved Date") >= first))
+
+
+def _unresolved(layer: MetricLayer) -> Callable[[Callable[[str], Column]], Column]:
+    return lambda f: ~f("Is Resolved")
+
+
+_PROJECT = {"project_key": "Project Key"}
+
+# Datasets whose selector values need no more than a condition on a view.
+SLICES: dict[str, Slice] = {
+    "ds_velocity": Slice("sprint_velocity", _PROJECT),
+    "ds_velocity_series": Slice("sprint_velocity", _PROJECT, lambda layer: _closed_sprint),
+    "ds_issue": Slice("issue", _PROJECT),
+    "ds_issue_open": Slice("issue", _PROJECT, _unresolved),
+    "ds_issue_kpi": Slice("issue", _PROJECT),
+    "ds_issue_resolved_180": Slice("issue", _PROJECT, _lately_resolved),
+    "ds_issue_medians": Slice("issue", _PROJECT, _lately_resolved),
+    "ds_project_health": Slice("project_health", _PROJECT),
+    "ds_assignee_load": Slice("assignee_load", {"project_key": "Project Key", "assignee_name": "Assignee"}),
+    "ds_team_prod": Slice("team_productivity", {"assignee_name": "Assignee"}),
+    "ds_time_in_status": Slice("time_in_status", _PROJECT),
+    "ds_flow_weekly": Slice("issue", _PROJECT, _lately_moved),
+    "ds_flow_series": Slice("issue", _PROJECT, _lately_moved),
+    "ds_worklog": Slice("worklog", _PROJECT),
+}

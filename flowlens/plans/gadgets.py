@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.expectations import union_all
-from flowlens.plans.datasets import DATASETS
+from flowlens.plans.datasets import DATASETS, SLICES, Slice
 from flowlens.semantic.layer import MetricLayer
 
 # The aggregates a gadget may use.
@@ -281,11 +282,46 @@ def listing(layer: MetricLayer, name: str, choices: Filters | None = None) -> Da
     return frame.select(*[F.col(column).alias(label) for label, column in columns.items()])
 
 
+def selector_reach(layer: MetricLayer, section: str, column: str) -> DataFrame:
+    """(column, dataset) of each value that a selector offers and the datasets that have it.
+
+    Datasets that are conditions on one view are a flag each over one scan of its table;
+    only datasets that are no condition, such as the last sprints, are read on their own.
+    """
+    by_view: dict[str, dict[str, Slice]] = {}
+    parts = []
+    for dataset in SELECTORS[section][column]:
+        if dataset in SLICES and column in SLICES[dataset].columns:
+            by_view.setdefault(SLICES[dataset].view, {})[dataset] = SLICES[dataset]
+        else:
+            values = DATASETS[dataset](layer).select(column).distinct()
+            parts.append(values.withColumn("dataset", F.lit(dataset)))
+    for view, slices in by_view.items():
+        fields = {one.columns[column] for one in slices.values()}
+        if len(fields) > 1:
+            raise ValueError(f"{column} is several fields of {view}: {', '.join(sorted(fields))}")
+        conditions = {dataset: one.where(layer) if one.where else None for dataset, one in slices.items()}
+
+        def flag(dataset: str, conditions: Mapping = conditions) -> Callable:
+            condition = conditions[dataset]
+            return lambda f: F.max(F.coalesce(condition(f), F.lit(False)) if condition else F.lit(True))
+
+        def any_of(f: Callable[[str], Column], conditions: Mapping = conditions) -> Column:
+            return reduce(Column.__or__, [condition(f) for condition in conditions.values()])
+
+        flagged = layer.view(view).query(
+            {column: fields.pop()},
+            adhoc={dataset: flag(dataset) for dataset in slices},
+            where=None if None in conditions.values() else any_of,
+        )
+        named = F.array_compact(F.array(*[F.when(F.col(dataset), F.lit(dataset)) for dataset in slices]))
+        parts.append(flagged.select(column, F.explode(named).alias("dataset")))
+    return union_all(parts)
+
+
 def selector_values(layer: MetricLayer, section: str, column: str) -> DataFrame:
     """Values a selector offers: the distinct ones of all datasets it applies to."""
-    datasets: Iterable[str] = SELECTORS[section][column]
-    values = [DATASETS[dataset](layer).select(column).distinct() for dataset in datasets]
-    return union_all(values).distinct()
+    return selector_reach(layer, section, column).select(column).distinct()
 
 
 def check_open_total(layer: MetricLayer) -> DataFrame:

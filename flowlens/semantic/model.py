@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.semantic.states import State
+
 SOURCE = "source"
 
 
@@ -38,11 +40,12 @@ class Field:
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate expression over the source rows."""
+    """An aggregate expression over the source rows, and its mergeable state if it has one."""
 
     name: str
     expression: Column
     synonyms: tuple[str, ...] = ()
+    state: State | None = None
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,7 @@ def source(column: str) -> Column:
     return F.col(f"{SOURCE}.{column}")
 
 
-def _labelled(names: Names) -> dict[str, str]:
+def labelled(names: Names) -> dict[str, str]:
     return dict(names) if isinstance(names, Mapping) else {name: name for name in names}
 
 
@@ -137,7 +140,7 @@ class BoundView:
     ) -> DataFrame:
         """Fields and expressions over fields, one row per source row."""
         pick = _Fields(self.view)
-        outputs = [pick(name).alias(label) for label, name in _labelled(fields).items()]
+        outputs = [pick(name).alias(label) for label, name in labelled(fields).items()]
         outputs += [build(pick).alias(label) for label, build in (derived or {}).items()]
         condition = where(pick) if where else None
         frame = self._base(pick.joins)
@@ -153,6 +156,7 @@ class BoundView:
         where: Condition | None = None,
         grouped_by: Sequence[str] = (),
         adhoc: Mapping[str, Condition] | None = None,
+        flags: Mapping[str, Condition] | None = None,
         derived: Mapping[str, Condition] | None = None,
         having: Condition | None = None,
         order_by: Sequence[str] = (),
@@ -161,19 +165,21 @@ class BoundView:
         """Measures per combination of fields; without fields one row for all.
 
         ``grouped_by`` names further fields to group and order by that are not
-        returned.  ``adhoc`` aggregates fields on the spot.  ``derived`` and
+        returned.  ``adhoc`` aggregates fields on the spot.  ``flags`` are conditions
+        over fields to group by as well, under their own labels.  ``derived`` and
         ``having`` compute over the grouped fields and over measures, which are
         added to the aggregation when they are not returned.  ``order_by`` takes
         output labels or grouped fields, a leading ``-`` meaning descending,
         nulls last both ways.
         """
         pick = _Fields(self.view)
-        group_labels = _labelled(fields)
-        measure_labels = _labelled(measures)
+        group_labels = labelled(fields)
+        measure_labels = labelled(measures)
         keys: dict[str, tuple[str, Column]] = {}
         for name in [*group_labels.values(), *grouped_by]:
             canonical = self.view.field(name).name
             keys.setdefault(canonical, (f"__key_{len(keys)}", pick(name)))
+        marks = {label: (f"__flag_{n}", build(pick)) for n, (label, build) in enumerate((flags or {}).items())}
         totals: dict[str, tuple[str, Column]] = {}
 
         def total(name: str) -> Column:
@@ -193,6 +199,7 @@ class BoundView:
             return total(name) if key is None else key
 
         outputs = {label: value(name) for label, name in group_labels.items()}
+        outputs |= {label: F.col(mark) for label, (mark, _) in marks.items()}
         outputs |= {label: total(name) for label, name in measure_labels.items()}
         extra = {label: build(pick) for label, build in (adhoc or {}).items()}
         outputs |= {label: F.col(f"__adhoc_{position}") for position, label in enumerate(extra)}
@@ -210,7 +217,8 @@ class BoundView:
         frame = self._base(pick.joins)
         if condition is not None:
             frame = frame.where(condition)
-        aggregated = frame.groupBy(*[column.alias(label) for label, column in keys.values()]).agg(
+        grouping = [*keys.values(), *marks.values()]
+        aggregated = frame.groupBy(*[column.alias(label) for label, column in grouping]).agg(
             *[column.alias(label) for label, column in totals.values()],
             *[column.alias(f"__adhoc_{position}") for position, column in enumerate(extra.values())],
         )

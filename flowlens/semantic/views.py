@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from flowlens.config import LayerConfig
 from flowlens.functions.times import percentile
 from flowlens.operators.aggregates import CRITICAL_PRIORITIES, STALE_AFTER_DAYS
+from flowlens.semantic import states
 from flowlens.semantic.model import Field, Join, Measure, MetricView, source
+from flowlens.semantic.summary import Summary
 
 # Names of priority bands and the priorities in each.
 PRIORITY_BANDS = {
@@ -21,6 +23,9 @@ OTHER_PRIORITY_BAND = "Low / Other"
 # Age buckets that count as stale load.
 STALE_BUCKETS = ("30-90d", "90d+")
 
+# Type of exact hours where a sketch gives them back.
+HOURS = "decimal(38,6)"
+
 
 def _field(name: str, column: str | Column, *synonyms: str) -> Field:
     """A field on a source column, or on ``join.column`` of a joined table."""
@@ -50,6 +55,28 @@ def _sum_where(condition: Column, column: str) -> Column:
     return F.sum(F.when(condition, source(column)).otherwise(F.lit(0)))
 
 
+def _counted(name: str, *synonyms: str, where: Column | None = None) -> Measure:
+    expression = _rows() if where is None else F.count_if(where)
+    return Measure(name, expression, synonyms, states.count(expression))
+
+
+def _summed(name: str, column: str, *synonyms: str, where: Column | None = None) -> Measure:
+    if where is None:
+        return Measure(name, _sum(column), synonyms, states.total(source(column)))
+    values = F.when(where, source(column)).otherwise(F.lit(0))
+    return Measure(name, F.sum(values), synonyms, states.total(values))
+
+
+def _averaged(name: str, column: str, *synonyms: str) -> Measure:
+    return Measure(name, _avg(column), synonyms, states.mean(source(column)))
+
+
+def _ranked(name: str, column: str, share: float, kind: str, *synonyms: str) -> Measure:
+    """A percentile; its state is a sketch, the measure itself stays the direct one."""
+    values = source(column)
+    return Measure(name, percentile(values, share), synonyms, states.quantile(values, share, kind))
+
+
 def _month(column: str) -> Column:
     return F.date_trunc("MONTH", source(column))
 
@@ -142,67 +169,33 @@ def issue_view(config: LayerConfig) -> MetricView:
             _field("Is WIP", wip, "in progress flag"),
         ),
         measures=(
-            _measure("Issue Count", _rows(), "total issues", "tickets"),
-            _measure("Open Issues", F.count_if(unresolved), "open", "backlog"),
-            _measure("Resolved Issues", F.count_if(resolved), "closed", "done"),
-            _measure("Open Critical", F.count_if(unresolved & critical), "critical backlog"),
-            _measure(
-                "Stale Open",
-                F.count_if(unresolved & (source("age_days") > STALE_AFTER_DAYS)),
-                "aging issues",
-                "stale",
-            ),
-            _measure("WIP Issues", F.count_if(wip), "in progress", "work in progress", "wip"),
-            _measure(
-                "To Do Issues",
-                F.count_if(unresolved & (source("status_category_key") == "new")),
-                "todo",
-                "to do",
-            ),
-            _measure(
-                "Unassigned Open", F.count_if(unresolved & unassigned), "unassigned", "no owner"
-            ),
-            _measure("Overdue Open", F.count_if(overdue), "overdue", "past due"),
-            _measure(
-                "Created (7d)",
-                F.count_if(since("created_at", 7)),
-                "created last 7 days",
-                "new issues this week",
-            ),
-            _measure(
-                "Created (30d)",
-                F.count_if(since("created_at", 30)),
-                "created last 30 days",
-                "inflow",
-            ),
-            _measure("Created (90d)", F.count_if(since("created_at", 90))),
-            _measure(
-                "Resolved (7d)", F.count_if(since("resolved_at", 7)), "resolved last 7 days"
+            _counted("Issue Count", "total issues", "tickets"),
+            _counted("Open Issues", "open", "backlog", where=unresolved),
+            _counted("Resolved Issues", "closed", "done", where=resolved),
+            _counted("Open Critical", "critical backlog", where=unresolved & critical),
+            _counted(
+                "Stale Open", "aging issues", "stale", where=unresolved & (source("age_days") > STALE_AFTER_DAYS)
             ),
-            _measure(
-                "Resolved (30d)",
-                F.count_if(since("resolved_at", 30)),
-                "resolved last 30 days",
-                "outflow",
-                "throughput",
-            ),
-            _measure("Resolved (90d)", F.count_if(since("resolved_at", 90))),
-            _measure("Avg Cycle Time (days)", _avg("cycle_time_days")),
-            _measure(
-                "Median Cycle Time (days)",
-                percentile(source("cycle_time_days"), 0.5),
-                "p50 cycle time",
+            _counted("WIP Issues", "in progress", "work in progress", "wip", where=wip),
+            _counted("To Do Issues", "todo", "to do", where=unresolved & (source("status_category_key") == "new")),
+            _counted("Unassigned Open", "unassigned", "no owner", where=unresolved & unassigned),
+            _counted("Overdue Open", "overdue", "past due", where=overdue),
+            _counted("Created (7d)", "created last 7 days", "new issues this week", where=since("created_at", 7)),
+            _counted("Created (30d)", "created last 30 days", "inflow", where=since("created_at", 30)),
+            _counted("Created (90d)", where=since("created_at", 90)),
+            _counted("Resolved (7d)", "resolved last 7 days", where=since("resolved_at", 7)),
+            _counted(
+                "Resolved (30d)", "resolved last 30 days", "outflow", "throughput", where=since("resolved_at", 30)
             ),
-            _measure(
-                "P90 Cycle Time (days)", percentile(source("cycle_time_days"), 0.9), "p90 cycle time"
-            ),
-            _measure("Avg Lead Time (days)", _avg("lead_time_days")),
-            _measure("Total Story Points", _sum("story_points")),
-            _measure(
-                "Open Story Points", _sum_where(unresolved, "story_points"), "backlog points"
-            ),
-            _measure("Resolved Story Points", _sum_where(resolved, "story_points")),
-            _measure("Avg Age (days)", _avg("age_days")),
+            _counted("Resolved (90d)", where=since("resolved_at", 90)),
+            _averaged("Avg Cycle Time (days)", "cycle_time_days"),
+            _ranked("Median Cycle Time (days)", "cycle_time_days", 0.5, "long", "p50 cycle time"),
+            _ranked("P90 Cycle Time (days)", "cycle_time_days", 0.9, "long", "p90 cycle time"),
+            _averaged("Avg Lead Time (days)", "lead_time_days"),
+            _summed("Total Story Points", "story_points"),
+            _summed("Open Story Points", "story_points", "backlog points", where=unresolved),
+            _summed("Resolved Story Points", "story_points", where=resolved),
+            _averaged("Avg Age (days)", "age_days"),
         ),
     )
 
@@ -272,20 +265,10 @@ def issue_transitions_view() -> MetricView:
             _field("To Category", "to_category_key"),
         ),
         measures=(
-            _measure("Transition Count", _rows()),
-            _measure(
-                "Avg Duration (hours)", _avg("duration_hours"), "average time in status"
-            ),
-            _measure(
-                "Median Duration (hours)",
-                percentile(source("duration_hours"), 0.5),
-                "p50 time in status",
-            ),
-            _measure(
-                "P90 Duration (hours)",
-                percentile(source("duration_hours"), 0.9),
-                "p90 time in status",
-            ),
+            _counted("Transition Count"),
+            _averaged("Avg Duration (hours)", "duration_hours", "average time in status"),
+            _ranked("Median Duration (hours)", "duration_hours", 0.5, HOURS, "p50 time in status"),
+            _ranked("P90 Duration (hours)", "duration_hours", 0.9, HOURS, "p90 time in status"),
         ),
     )
 
@@ -484,3 +467,31 @@ def all_views(config: LayerConfig) -> dict[str, MetricView]:
         flow_view(),
     )
     return {view.name: view for view in views}
+
+
+# Days within which an issue counts as lately resolved.
+LATELY_DAYS = 180
+
+
+def summaries(config: LayerConfig) -> dict[str, Summary]:
+    """What is kept of the two views over the largest facts.
+
+    An issue summary has a row per project, type, priority, status category, resolution and
+    recency; so its size follows these lists, not the number of issues.
+    """
+    first = config.days_ago(LATELY_DAYS)
+    kept = (
+        Summary(
+            "issue",
+            "issue",
+            ("Project Key", "Project Name", "Issue Type", "Priority", "Status Category", "Is Resolved"),
+            flags={"Lately Resolved": lambda f: f("Is Resolved") & (f("Resolved Date") >= first)},
+            further={"Median Lead Time (days)": lambda f: states.quantile(f("Lead Time (days)"), 0.5, "long")},
+        ),
+        Summary(
+            "issue_transitions",
+            "issue_transitions",
+            ("Project Key", "Project Name", "From Status", "To Status", "To Category"),
+        ),
+    )
+    return {one.name: one for one in kept}

@@ -1186,6 +1186,22 @@ for _name, _columns in DATES.items():
     QUERIES[_name] = f"SELECT * REPLACE ({_texts}) FROM ({QUERIES[_name].strip()})"
 
 
+# The merged forms of three reports hold the same rows.
+QUERIES["summary_issue_by_project"] = QUERIES["metric_issue_by_project"]
+QUERIES["summary_transitions_by_status"] = QUERIES["metric_transitions_by_status"]
+QUERIES["summary_issue_medians"] = "SELECT * FROM ds_issue_medians"
+QUERIES["selector_reach"] = " UNION ALL ".join(
+    f"SELECT DISTINCT project_key, '{name}' AS dataset FROM {name}"
+    for name in (
+        "ds_issue_open",
+        "ds_issue_resolved_180",
+        "ds_issue_medians",
+        "ds_time_in_status",
+        "ds_issue_kpi",
+    )
+)
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the tables a query reads, in the order they are defined."""
     found: set[str] = set()

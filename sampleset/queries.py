@@ -15,7 +15,7 @@ from flowlens.operators import bridges, facts
 from flowlens.operators.entities import attach_by_id_or_name
 from flowlens.operators.expectations import union_all
 from flowlens.plans import gadgets
-from flowlens.plans.datasets import DATASETS
+from flowlens.plans.datasets import DATASETS, issue_medians_merged
 from flowlens.plans.pipeline import GOLD, SILVER, STEPS, Pipeline
 from flowlens.plans.questions import QUESTIONS, median_cycle_monthly
 from flowlens.semantic.layer import MetricLayer
@@ -100,6 +100,16 @@ def _by_fields(view: str, *fields: str) -> LayerQuery:
     return build
 
 
+def _from_summary(summary: str, *fields: str) -> LayerQuery:
+    """All measures of a view at one grain, merged from its summary."""
+
+    def build(layer: MetricLayer) -> DataFrame:
+        bound = layer.summary(summary)
+        return bound.query(fields, [measure.name for measure in bound.bound.view.measures])
+
+    return build
+
+
 def _all_rows(view: str) -> LayerQuery:
     """All fields of a view, row by row, through all of its joins."""
 
@@ -247,6 +257,12 @@ GRAINS = {
     "metric_flow_monthly": ("flow", "Flow Month"),
 }
 
+# The same grains from stored summaries, whose sketches are exact for so few values.
+SUMMARISED = {
+    "summary_issue_by_project": ("issue", "Project Key"),
+    "summary_transitions_by_status": ("issue_transitions", "Project Name", "To Status"),
+}
+
 VIEWS = (
     "issue sprint_velocity issue_transitions worklog project_health assignee_load "
     "team_productivity time_in_status flow"
@@ -279,6 +295,9 @@ def _build() -> dict[str, Query]:
     found |= {name: _gold_table(name) for name in GOLD}
     found |= {name: _by_fields(*grain) for name, grain in GRAINS.items()}
     found |= {f"metric_{view}_rows": _all_rows(view) for view in VIEWS}
+    found |= {name: _from_summary(*grain) for name, grain in SUMMARISED.items()}
+    found["summary_issue_medians"] = issue_medians_merged
+    found["selector_reach"] = lambda layer: gadgets.selector_reach(layer, "flow", "project_key")
     found |= DATASETS
     found |= {
         f"kpi_{section}": lambda layer, section=section: gadgets.counters(layer, section)
