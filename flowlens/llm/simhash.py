@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from flowlens.llm.common import components, land
 from flowlens.llm.overlap import key_of, similar_texts
+from flowlens.llm.sieve import may_hold, sieve_of_column
 
 SHINGLE = 4
 SEED = 42
@@ -172,37 +173,45 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id.
 
     Components link texts with a five-word shingle similarity of 0.8 or more
-    (``overlap.similar_texts``); fingerprints take no part.  One row stays of each
-    component, also where it occurs several times, where its doc_id has several texts
-    in the component or one in another component, and where no row has a doc_id.  An
-    empty table stays empty; all columns stay as they are.
+    (``overlap.similar_texts``); fingerprints take no part, as the four bits that they may
+    differ in stand for a similarity far above 0.8.  One row stays of each component, also
+    where it occurs several times, where its doc_id has several texts in the component or
+    one in another component, and where no row has a doc_id.  Null texts are alike.  An
+    empty table stays empty; all columns stay as they are, whatever their names.
+
+    Most rows stay.  A fixed bitmap (``sieve``) of the rows in doubt tells which stay for
+    certain, so only the others are shuffled.
     """
-    key = key_of(docs["text"])
-    texts = docs.groupBy(key.alias("key")).agg(F.min("doc_id").alias("first"))
-    texts = land(texts, "texts")
+    named = docs.select(key_of(docs["text"]).alias("key"), docs["doc_id"].alias("id"))
+    groups = land(named.groupBy("key", "id").agg(F.count(F.lit(1)).alias("rows")), "groups")
     found = land(similar_texts(docs), "similar")
     # The smallest doc_id of a component, with the smallest of its texts; null comes last.
-    rank = F.struct(F.col("first").isNull(), F.col("first"), F.col("key"))
-    best = texts.join(found.hint("merge"), texts["key"] == found["node"], "left")
+    rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
+    best = groups.join(found.hint("merge"), groups["key"] == found["node"], "left")
     best = best.groupBy(F.coalesce("root", "key").alias("of")).agg(F.min(rank).alias("best"))
-    best = best.select(F.col("best.first").alias("__kept"), F.col("best.key").alias("__text"))
-    best = land(best, "kept")
-    # The ids kept grow with the corpus, so they are never broadcast: the hint
-    # keeps the plan the same at every size.
-    same = key.eqNullSafe(F.col("__text")) & docs["doc_id"].eqNullSafe(F.col("__kept"))
-    counts = docs.groupBy(key.alias("__text"), docs["doc_id"].alias("__kept")).count()
-    twice = land(counts.where("count > 1").select("__kept", "__text"), "twice")
-    both = twice.alias("t").join(
-        best.alias("b"),
-        (F.col("t.__text") == F.col("b.__text")) & F.col("t.__kept").eqNullSafe(F.col("b.__kept")),
-        "left_semi",
+    best = best.select(F.col("best.key").alias("kept"), F.col("best.id").alias("kept_id"))
+    same = (F.col("key") == F.col("kept")) & F.col("id").eqNullSafe(F.col("kept_id"))
+    stays = groups.join(best.hint("merge"), same, "left").select("key", "id", "rows", F.col("kept").isNotNull().alias("stays"))
+    doubtful = land(stays.where("not stays or rows > 1").select("key", "id", "stays"), "doubtful")
+
+    mark = F.xxhash64("key", "id")
+    marks = docs.sparkSession.sparkContext.broadcast(
+        sieve_of_column(doubtful.select(mark.alias("mark")), "mark")
     )
-    repeated = land(both, "repeated")
-    if repeated.isEmpty():
-        return docs.join(best.hint("merge"), same, "left_semi")
-    at = (best["__text"] == repeated["__text"]) & best["__kept"].eqNullSafe(repeated["__kept"])
-    single = land(best.join(repeated, at, "left_anti"), "single")
-    kept = docs.join(single.hint("merge"), same, "left_semi")
-    rows = docs.join(repeated.hint("merge"), same, "left_semi")
-    rows = rows.withColumn("__text", key_of(F.col("text"))).dropDuplicates(["doc_id", "__text"])
-    return kept.unionByName(rows.drop("__text"))
+
+    @F.pandas_udf(T.BooleanType())
+    def in_doubt(marks_of: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(marks.value, marks_of.to_numpy(np.int64)))
+
+    rows = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"))
+    rows = rows.select("row", key_of(F.col("row.text")).alias("key"), F.col("row.doc_id").alias("id"))
+    rows = rows.withColumn("doubt", in_doubt(mark))
+    certain = rows.where(~F.col("doubt")).select("row.*")
+    left = doubtful.select(F.col("key").alias("at"), F.col("id").alias("at_id"), "stays")
+    doubted = rows.where("doubt").join(
+        left.hint("merge"), (F.col("key") == F.col("at")) & F.col("id").eqNullSafe(F.col("at_id")), "left"
+    )
+    doubted = land(doubted.where("stays or stays is null").select("row", "key", "id", "stays"), "doubted")
+    cleared = doubted.where("stays is null").select("row.*")
+    once = doubted.where("stays").groupBy("key", "id").agg(F.first("row").alias("row")).select("row.*")
+    return certain.unionByName(cleared).unionByName(once)
