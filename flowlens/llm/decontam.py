@@ -5,7 +5,8 @@ Impacts are BM25 weights divided by the item's weight against itself, so that a
 score of one means that the passage holds all of the item's terms, and one
 threshold suits short and long items.  All items above the threshold are
 retrieved, then the text itself is compared: five-word shingles of the whole
-item, of its question and of its answer.
+item, and where the benchmark has an answer column, of question and answer too.
+Items of fewer than five words have no shingle; they are looked up as they are.
 
 Before the lists of a passage are walked, WAND's test for whether any item can
 reach the threshold is made for all passages of a batch at once: an item's
@@ -13,9 +14,9 @@ commonest terms, whose impacts add up to little, are taken as present, and the
 impacts of its other, essential terms are added up where they occur.  Passages
 in which no item's bound reaches the threshold are done.
 
-The index goes to the executors in slices of bounded size.  A benchmark beyond
-one slice gives several indexes, all asked in the same pass over the documents,
-with document frequencies counted over all items.
+The index goes to the executors in slices of bounded size, one after the other: each
+slice is asked in a pass of its own and forgotten before the next is built.  Document
+frequencies are those of all items.
 """
 
 from __future__ import annotations
@@ -23,14 +24,13 @@ from __future__ import annotations
 import math
 import string
 from bisect import bisect_left
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +44,10 @@ K1, B = 1.2, 0.75
 COMMON = 0.2  # of an item's own score: what its commonest terms may add up to
 BLOCK = 64  # postings of a block
 SLICE_BYTES = 16 << 20  # text of the items in one index
-ANSWER_SHARE = 0.25  # last words of an item, where it has no answer of its own
 HIT = "array<struct<item_id:bigint,score:double,overlap:double,question:double,answer:double>>"
 
+FOUND = "doc_id long, item_id long, score double, overlap double, question double, answer double"
+
 _MARKS = str.maketrans(dict.fromkeys(string.punctuation, " "))
 
 
@@ -61,22 +62,40 @@ def shingles(words: list[str], size: int = SHINGLE) -> list[tuple[str, ...]]:
 
 @dataclass
 class Item:
+    """The words of a test item's question, and of its answer where it has one of its own."""
+
     item_id: int
     words: list[str]
+    answer: list[str] = field(default_factory=list)
 
     @property
-    def parts(self) -> tuple[list, list]:
-        """Shingles that start in the question, and those that reach into the answer."""
-        found = shingles(self.words)
-        answer = max(1, min(len(found), round(len(self.words) * ANSWER_SHARE)))
-        cut = max(1, len(found) - answer)
-        return found[:cut], found[-answer:]
+    def whole(self) -> list[str]:
+        return self.words + self.answer
+
+
+def share_of(words: list[str], present: set[tuple[str, ...]], text: list[str]) -> float:
+    """Share of a part's shingles that a text holds; a part without any is there or not."""
+    own = shingles(words)
+    if own:
+        return sum(one in present for one in own) / len(own)
+    return float(not words or holds(text, words))
+
+
+def holds(text: list[str], words: list[str]) -> bool:
+    """Whether the words stand in the text one after the other."""
+    return any(text[i : i + len(words)] == words for i, word in enumerate(text) if word == words[0])
 
 
 class Index:
     """Inverted lists of one slice of items, in blocks with their largest impact."""
 
     def __init__(self, items: list[Item], frequency: dict[str, int], total: int, mean_length: float):
+        # Short items are found by their first word, not by score.
+        self.short: dict[str, list[Item]] = {}
+        for item in items:
+            if 0 < len(item.whole) < SHINGLE:
+                self.short.setdefault(item.whole[0], []).append(item)
+        items = [item for item in items if len(item.whole) >= SHINGLE]
         self.items = items
         self.terms: dict[str, int] = {}
         lists: list[list[tuple[int, float]]] = []
@@ -84,9 +103,9 @@ class Index:
         self.rest = np.zeros(len(items))
         for number, item in enumerate(items):
             counts: dict[str, int] = {}
-            for word in item.words:
+            for word in item.whole:
                 counts[word] = counts.get(word, 0) + 1
-            norm = K1 * (1 - B + B * len(item.words) / mean_length)
+            norm = K1 * (1 - B + B * len(item.whole) / mean_length)
             weight = {
                 word: math.log(1 + (total - frequency[word] + 0.5) / (frequency[word] + 0.5))
                 * n * (K1 + 1) / (n + norm)
@@ -125,7 +144,7 @@ class Index:
         self.essential_impacts = np.array([w for _, _, w in essential])
         self.is_essential = np.zeros(len(self.terms) + 1, bool)  # last: no term
         self.is_essential[owners] = True
-        self.stride = max([64, *(len(item.words) for item in items)])
+        self.stride = max([64, *(len(item.whole) for item in items)])
 
     def promising(self, cells: np.ndarray, terms: np.ndarray) -> np.ndarray:
         """Passages and items that may reach the threshold, as first cell times items plus item.
@@ -202,21 +221,32 @@ class Index:
                 left.append((numbers[place], place, term))
         return left
 
-    def verified(self, number: int, score: float, present: set[tuple[str, ...]]) -> dict | None:
-        """Overlap of an item's shingles with a document's, whole, question and answer."""
+    def verified(self, number: int, score: float, present: set[tuple[str, ...]], text: list[str]) -> dict | None:
+        """Overlap of an item's shingles with a document's: whole, question and answer."""
         item = self.items[number]
-        question, answer = item.parts
-        share = lambda part: sum(s in present for s in part) / len(part)
-        whole = share(shingles(item.words))
         row = {
-            "item_id": item.item_id, "score": score, "overlap": whole,
-            "question": share(question), "answer": share(answer),
+            "item_id": item.item_id, "score": score, "overlap": share_of(item.whole, present, text),
+            "question": None, "answer": None,
         }
-        good = whole >= OVERLAP and min(row["question"], row["answer"]) >= PART_OVERLAP
+        good = row["overlap"] >= OVERLAP
+        if item.answer:
+            row |= {part: share_of(words, present, text) for part, words in (("question", item.words), ("answer", item.answer))}
+            good = good and min(row["question"], row["answer"]) >= PART_OVERLAP
         return row if good else None
 
+    def short_hits(self, text: list[str]) -> Iterator[dict]:
+        """The items of few words that a text holds as they are."""
+        for word in set(text) & self.short.keys():
+            for item in self.short[word]:
+                if holds(text, item.whole):
+                    parts = 1.0 if item.answer else None
+                    yield {"item_id": item.item_id, "score": 1.0, "overlap": 1.0, "question": parts, "answer": parts}
+
     def hits(self, texts: list[str | None]) -> list[list[dict]]:
         """The items that each text holds."""
+        results: list[list[dict]] = [list(self.short_hits(words_of(text))) if self.short else [] for text in texts]
+        if not self.items:
+            return results
         none = len(self.terms)
         at, cells, terms, sequences = 0, [], [], []
         for text in texts:
@@ -226,7 +256,6 @@ class Index:
             cells.append(at + places // self.stride)
             terms.append(ids[places])
             at += len(ids) // self.stride + 2  # a gap, so that no passage spans two texts
-        results: list[list[dict]] = [[] for _ in texts]
         begins = np.array([begin for begin, _ in sequences])
         best: dict[tuple[int, int], float] = {}
         likely = self.promising(np.concatenate(cells), np.concatenate(terms)).tolist() if texts else ()
@@ -239,11 +268,12 @@ class Index:
             if any(self.bound(key % len(self.items), passage) for key in keys):
                 for number, score in self.search(passage):
                     best[row, number] = max(score, best.get((row, number), 0.0))
-        shingled: tuple[int, set] = (-1, set())
+        opened, words, present = -1, [], set()
         for (row, number), score in sorted(best.items()):
-            if shingled[0] != row:
-                shingled = (row, set(shingles(words_of(texts[row]))))
-            found = self.verified(number, score, shingled[1])
+            if opened != row:
+                opened, words = row, words_of(texts[row])
+                present = set(shingles(words))
+            found = self.verified(number, score, present, words)
             if found:
                 results[row].append(found)
         return results
@@ -254,69 +284,86 @@ def _terms(texts: pd.Series) -> pd.Series:
     return pd.Series([words_of(text) for text in texts], dtype=object)
 
 
-def indexes(benchmark: DataFrame, slice_bytes: int = SLICE_BYTES) -> list[Index]:
-    """One index per slice of items; a slice holds ``slice_bytes`` of text at most, or one item."""
+def indexes(benchmark: DataFrame, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, Index]]:
+    """(slices left, index) of each slice of items, built as it is asked for.
+
+    A slice holds about ``slice_bytes`` of text, or one item.  An ``answer`` column is an
+    item's answer; without one the text is all there is.
+    """
+    answer = benchmark["answer"] if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = land(
         benchmark.select(
             benchmark["item_id"].cast("long").alias("item_id"),
-            benchmark["text"].alias("text"),
-            _terms(benchmark["text"]).alias("terms"),
-        ).where(F.size("terms") >= SHINGLE),
+            F.coalesce(F.octet_length(benchmark["text"]), F.lit(0)).alias("size"),
+            _terms(benchmark["text"]).alias("words"),
+            _terms(answer).alias("answer"),
+        ).withColumn("terms", F.concat("words", "answer")).where(F.size("terms") > 0),
         "items",
     )
-    if items.isEmpty():
-        return []
-    total, words, size = items.agg(
-        F.count(F.lit(1)), F.sum(F.size("terms")), F.sum(F.octet_length("text"))
-    ).first()
+    total, words, size = items.agg(F.count(F.lit(1)), F.sum(F.size("terms")), F.sum("size")).first()
+    if not total:
+        return
     frequency = land(
         items.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count(), "frequency"
     )
-    slices = math.ceil(2 * size / slice_bytes)
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
-    found = []
+    slices = max(1, math.ceil(2 * size / slice_bytes))
+    number = F.pmod(F.xxhash64("item_id", "terms"), F.lit(slices))
     for which in range(slices):
         part = items.where(number == which)
-        rows = part.select("item_id", "terms").orderBy("item_id", "terms").collect()
+        rows = part.select("item_id", "words", "answer").orderBy("item_id", "words", "answer").collect()
         counts = frequency.join(
             part.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi"
         ).collect()
-        if rows:
-            own = [Item(row["item_id"], row["terms"]) for row in rows]
-            found.append(Index(own, {row["term"]: row["count"] for row in counts}, total, words / total))
-    return found
+        own = [Item(row["item_id"], row["words"], row["answer"]) for row in rows]
+        yield slices - which - 1, Index(own, {row["term"]: row["count"] for row in counts}, total, words / total)
+
 
+def _asked(docs: DataFrame, index: Index, text: str):
+    """The items of an index that a row's text holds, and the index as it was sent."""
+    sent = docs.sparkSession.sparkContext.broadcast(index)
 
-def _search_udf(shared: Broadcast):
     @F.pandas_udf(HIT)
     def hits(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.hits(texts.tolist()), dtype=object)
-
-    return hits
-
+        return pd.Series(sent.value.hits(texts.tolist()), dtype=object)
 
-def contained(docs: DataFrame, benchmark: DataFrame) -> Column:
-    """The items that a row's text holds, as an array; for use in a select or filter."""
-    context = docs.sparkSession.sparkContext
-    parts = [_search_udf(context.broadcast(index))(docs["text"]) for index in indexes(benchmark)]
-    if not parts:
-        return F.array().cast(HIT)
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    return hits(docs[text]), sent
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row for each document and test item it holds.
 
-    Columns doc_id, item_id, score (best of its passages, 1: all terms), and the
-    shares of the item's shingles that the document holds: overlap (0.8 at least),
-    question and answer (0.5 at least).  Null and empty texts hold nothing; items
-    of fewer than five words cannot be told from chance and never match; rows and
-    items that occur twice count twice; rows without doc_id keep their null.
+    Columns doc_id, item_id, score (best of its passages, 1: all terms), and the shares of
+    the item's shingles that the document holds: overlap (0.8 at least), and for items with
+    an answer question and answer (0.5 at least each), else null.  An item of fewer than
+    five words is held where its words stand one after the other.  A passage is two
+    stretches as long as the longest item, so an item scattered wider is none.  Null and
+    empty texts hold nothing, empty items are held nowhere, an empty benchmark by nothing;
+    documents and items that occur twice count twice; rows without doc_id keep their null.
+    Further columns are not read.
     """
-    hit = F.explode(contained(docs, benchmark)).alias("hit")
-    return docs.select(docs["doc_id"].alias("doc_id"), hit).select("doc_id", "hit.*")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns."""
-    return docs.where(F.size(contained(docs, benchmark)) == 0)
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    found = None
+    for left, index in indexes(benchmark, slice_bytes):
+        held, sent = _asked(rows, index, "text")
+        hits = rows.select("doc_id", F.explode(held).alias("hit")).select("doc_id", "hit.*")
+        if left or found is not None:
+            hits = land(hits, "hits")
+            sent.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    return found if found is not None else rows.sparkSession.createDataFrame([], FOUND)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns.
+
+    What holds an item is said at ``contaminated``.  Rows without a text stay, repeated rows
+    stay repeated, columns keep their names whatever they are; an empty benchmark drops none.
+    """
+    rows = docs
+    for left, index in indexes(benchmark, slice_bytes):
+        held, sent = _asked(rows, index, "text")
+        rows = rows.where(F.size(held) == 0)
+        if left:
+            rows = land(rows, "clean")
+            sent.destroy()
+    return rows
