@@ -1,15 +1,18 @@
 """URL filter: listed rules first, else a path-template tree with labelled purity.
 
-Per host, paths form a tree of segments.  Level by level, numbers in a segment
-become a wildcard; where a node has many children, the rare ones become one
-wildcard; and branches whose share of labelled bad pages does not differ by more
-than chance are merged.  The labels come from the listed rules: what a ``block``
-rule names is bad.  A template is rejected when its purity, the share of bad pages
-smoothed towards its parent's, is high, so a branch is never judged by its name
-alone and an unknown host is let through.
+Per host, paths form a tree of segments.  Level by level, numbers and long hexadecimal
+runs in a segment become a wildcard; where a node has many children, the rare ones become
+one wildcard; and branches whose share of bad pages does not differ by more than chance
+are merged.  The labels come from the listed rules: a page that an ``allow`` rule names is
+good, one that a ``block`` rule names is bad, all others are unlabelled and count for
+neither.  A template's purity is the bad share of its labelled pages, smoothed towards
+its parent's.  It is rejected when that is high and enough of its pages are labelled;
+with fewer it is undecided and its pages pass.  So an unlabelled branch is never judged by
+its neighbours.
 
 Pages are reduced to counts per distinct (host, path) before the tree is grown,
-and to counts per branch on every level; all of it is joins and aggregations.
+and to counts per branch on every level; all of it is joins and aggregations.  A level
+is added while some node still mixes labelled with other pages, or good with bad ones.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import ascii_lower, land
 
 ALLOW, BLOCK = "allow", "block"
-DEPTH = 3  # segments that a template looks at
 CHILDREN = 16  # above so many, rare children become one wildcard
 RARE = 0.05  # share of a node's pages below which a child is rare
-WEIGHT = 20.0  # pages that the parent's purity counts for
+WEIGHT = 20.0  # labelled pages that the parent's purity counts for
+SUPPORT = 10  # labelled pages below which a template is undecided
 PURITY = 0.9
 DEVIATIONS = 1.96
 ANY = "*"
@@ -64,11 +67,14 @@ def _first(rules: list[UrlRule], value, host: Column, path: Column) -> Column:
 
 
 def _grow(nodes: DataFrame, level: int) -> DataFrame:
-    """One more level: each path's prefix and purity, from its next segment."""
+    """One more level: each path's prefix, purity and support, from its next segment."""
+    nodes = nodes.drop("shut", "support")
     part = F.coalesce(F.get("segments", F.lit(level)), F.lit(ENDED))
+    part = F.regexp_replace(part, "[0-9a-f]*[0-9][0-9a-f]{7,}|[0-9a-f]{7,}[0-9][0-9a-f]*", "{h}")
     nodes = nodes.withColumn("branch", F.regexp_replace(part, "[0-9]+", "{n}"))
     counts = nodes.groupBy("host", "prefix", "branch").agg(
-        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("purity").alias("above")
+        F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad"), F.max("purity").alias("above"),
+        F.count(F.lit(1)).alias("paths"),
     )
     counts = land(counts, "branches")
     sizes = counts.groupBy("host", "prefix").agg(
@@ -77,46 +83,55 @@ def _grow(nodes: DataFrame, level: int) -> DataFrame:
     keys = ["host", "prefix"]
     rare = (F.col("children") > CHILDREN) & (F.col("n") < RARE * F.col("all"))
     named = counts.join(sizes, keys).withColumn("name", F.when(rare, ANY).otherwise(F.col("branch")))
-    named = land(named.select(*keys, "branch", "name", "n", "bad", "above"), "named")
+    named = land(named.select(*keys, "branch", "name", "n", "known", "bad", "above", "paths"), "named")
 
     # At most 16 children, or those above the rare share and the wildcard, remain.
     merged = named.groupBy(*keys, "name").agg(
-        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.max("above").alias("above")
+        F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad"), F.max("above").alias("above"),
+        F.sum("paths").alias("paths"),
     )
-    merged = merged.withColumn("rate", F.col("bad") / F.col("n"))
-    beside = Window.partitionBy(*keys).orderBy("rate", "name")
-    last_n, last_bad = F.lag("n").over(beside), F.lag("bad").over(beside)
-    pooled = (F.col("bad") + last_bad + 1) / (F.col("n") + last_n + 2)
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / last_n))
-    apart = F.col("rate") - last_bad / last_n > DEVIATIONS * spread
+    # Branches without labels come first and stay together; they never join labelled ones.
+    merged = merged.withColumn("rate", F.try_divide("bad", "known"))
+    beside = Window.partitionBy(*keys).orderBy(F.col("rate").asc_nulls_first(), "name")
+    last_known, last_bad, last_rate = (F.lag(name).over(beside) for name in ("known", "bad", "rate"))
+    pooled = (F.col("bad") + last_bad + 1) / (F.col("known") + last_known + 2)
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "known") + F.try_divide(F.lit(1), last_known)))
+    apart = (F.col("rate") - last_rate > DEVIATIONS * spread) | (F.col("rate").isNotNull() & last_rate.isNull())
     merged = merged.withColumn("break", F.coalesce(apart.cast("int"), F.lit(0)))
     merged = merged.withColumn("group", F.sum("break").over(beside))
     groups = merged.groupBy(*keys, "group").agg(
         F.array_join(F.sort_array(F.collect_set("name")), "|").alias("label"),
         F.collect_set("name").alias("names"),
-        ((F.sum("bad") + WEIGHT * F.max("above")) / (F.sum("n") + WEIGHT)).alias("next"),
+        ((F.sum("bad") + WEIGHT * F.max("above")) / (F.sum("known") + WEIGHT)).alias("next"),
+        F.sum("known").alias("labelled"),
+        # Nothing is left to tell apart: one path, no labels, or labels of one kind on every page.
+        ((F.sum("paths") == 1) | (F.sum("known") == 0) | ((F.sum("known") == F.sum("n")) & F.sum("bad").isin(0, F.sum("known")))).alias("shut"),
     )
-    groups = groups.select(*keys, F.explode("names").alias("name"), "label", "next")
+    groups = groups.select(*keys, F.explode("names").alias("name"), "label", "next", "labelled", "shut")
     found = named.join(groups, [*keys, "name"]).select(
-        F.col("host").alias("h"), F.col("prefix").alias("p"), F.col("branch").alias("b"), "label", "next"
+        F.col("host").alias("h"), F.col("prefix").alias("p"), F.col("branch").alias("b"), "label", "next", "labelled", "shut"
     )
     found = land(found, "grown")
     joined = nodes.join(
         found, (F.col("host") == F.col("h")) & (F.col("prefix") == F.col("p")) & (F.col("branch") == F.col("b"))
     )
     return joined.select(
-        "host", "path", "n", "bad", "segments", "rule", "listed",
+        "host", "path", "n", "known", "bad", "segments", "rule", "listed",
         F.concat("prefix", F.lit("/"), "label").alias("prefix"), F.col("next").alias("purity"),
+        F.col("labelled").alias("support"), (F.col("shut") | (F.size("segments") <= level)).alias("shut"),
     )
 
 
-def judge(pages: DataFrame, rules: list[UrlRule], depth: int = DEPTH, purity: float = PURITY) -> DataFrame:
-    """One row per row of ``pages``: page_id, host, path, rule, verdict, template, purity.
+def judge(
+    pages: DataFrame, rules: list[UrlRule], purity: float = PURITY, support: int = SUPPORT
+) -> DataFrame:
+    """One row per row of ``pages``: page_id, host, path, rule, verdict, template, purity, support.
 
-    ``rule`` is the longest listed rule that fits and decides; without one the
-    template's purity does.  Null urls and urls without ``://`` have an empty host
-    and path; repeated rows stay; an empty table gives no rows; further columns
-    are not read.
+    ``rule`` is the longest listed rule that fits and decides.  Without one, a page is
+    blocked if its template's purity reaches ``purity`` and at least ``support`` of the
+    template's pages are labelled; undecided templates pass.  Null urls and urls without
+    ``://`` have an empty host and path; repeated rows stay and count as often; an empty
+    table gives no rows; further columns are not read.
     """
     host, path = parts(F.coalesce(pages["url"], F.lit("")))
     rows = land(
@@ -131,27 +146,40 @@ def judge(pages: DataFrame, rules: list[UrlRule], depth: int = DEPTH, purity: fl
         _first(rules, lambda rule: rule.name, F.col("host"), F.col("path")).alias("rule"),
         _first(*at).alias("listed"),
         F.filter(F.split("path", "/"), lambda part: part != "").alias("segments"),
-    ).withColumn("bad", F.when(F.col("listed") == BLOCK, F.col("n")).otherwise(0))
+    )
+    nodes = nodes.withColumns(
+        {
+            "known": F.when(F.col("listed").isNotNull(), F.col("n")).otherwise(0),
+            "bad": F.when(F.col("listed") == BLOCK, F.col("n")).otherwise(0),
+        }
+    )
     nodes = land(nodes, "paths")
-    total, bad = nodes.agg(F.sum("n"), F.sum("bad")).first()
-    prior = (bad or 0) / (total or 1)
-    hosts = nodes.groupBy("host").agg(F.sum("n").alias("pages"), F.sum("bad").alias("bads"))
+    known, bad = nodes.agg(F.sum("known"), F.sum("bad")).first()
+    prior = (bad or 0) / (known or 1)
+    hosts = nodes.groupBy("host").agg(F.sum("known").alias("labelled"), F.sum("bad").alias("bads"))
     hosts = hosts.select(
         F.col("host").alias("h"),
-        ((F.col("bads") + WEIGHT * prior) / (F.col("pages") + WEIGHT)).alias("purity"),
+        ((F.col("bads") + WEIGHT * prior) / (F.col("labelled") + WEIGHT)).alias("purity"),
+        F.col("labelled").alias("support"),
     )
     nodes = nodes.join(land(hosts, "hosts"), F.col("host") == F.col("h")).drop("h")
-    nodes = nodes.withColumn("prefix", F.lit(""))
-    for level in range(depth):
-        nodes = land(_grow(nodes, level), "level")
-    method = F.when(F.col("purity") >= purity, BLOCK).otherwise(ALLOW)
-    verdicts = nodes.select(
+    grown, level = nodes.withColumns({"prefix": F.lit(""), "shut": F.lit(False)}), 0
+    done = []
+    while not grown.where("not shut").isEmpty():
+        done.append(grown.where("shut"))
+        grown = land(_grow(grown.where("not shut"), level), "level")
+        level += 1
+    for part in done:
+        grown = grown.unionByName(part.select(*grown.columns))
+    method = F.when((F.col("purity") >= purity) & (F.col("support") >= support), BLOCK).otherwise(ALLOW)
+    verdicts = grown.select(
         F.col("host").alias("h"),
         F.col("path").alias("p"),
         "rule",
         F.coalesce("listed", method).alias("verdict"),
         F.col("prefix").alias("template"),
         "purity",
+        "support",
     )
     found = rows.join(land(verdicts, "verdicts"), (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")))
-    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity", "support")
