@@ -87,4 +87,4 @@ def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Rows laid end to end, and the row number of each entry."""
     if not rows:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(row) for row in rows])
+    return np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(row) for row in rows])

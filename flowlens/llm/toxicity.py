@@ -157,11 +157,15 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     weights, factors = np.zeros(SLOTS), np.zeros((SLOTS, FACTORS))
     if not len(labels):
         return Machine(-1e-9, weights, factors)
-    seen = np.bincount(flat([np.unique(row) for row in rows])[0], minlength=SLOTS)
-    live = np.flatnonzero(seen >= LEAST_DOCUMENTS)
-    place = np.full(SLOTS, -1)
+    ids, of = flat(rows)
+    live = np.flatnonzero(np.bincount(ids, minlength=SLOTS) >= LEAST_DOCUMENTS)
+    place = np.full(SLOTS, -1, np.int32)
     place[live] = np.arange(len(live))
-    rows = [(kept := place[row])[kept >= 0] for row in rows]
+    # The sample is in memory once, as views of one array.
+    ids = place[ids]
+    counts = np.bincount(of[ids >= 0], minlength=len(labels))
+    rows = np.split(ids[ids >= 0], np.cumsum(counts)[:-1])
+    del ids, of
 
     back = np.arange(len(rows)) % FOLDS == 0
     slope, shift, best = 1.0, 0.0, 0
