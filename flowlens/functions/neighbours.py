@@ -28,9 +28,13 @@ def with_neighbours(
     following: dict[str, str] | None = None,
     preceding: dict[str, str] | None = None,
     most: int = MOST,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add columns taken from the next and the previous row of the same ``key``.
 
+    ``largest`` is a bound of the rows of one key, for instance from a sketch that was made
+    while they were written.  Where it rules out hot keys, one scan and one window are all.
+
     ``following`` and ``preceding`` map new column names to the column read from
     the neighbour.  Rows are ordered by ``time`` and then by ``ties``; these and the
     key must be all their columns, so that rows equal in the order are equal.
@@ -41,17 +45,18 @@ def with_neighbours(
     if sorted(rows.columns) != sorted([key, *order]):
         raise ValueError("rows must have the key, the time and the ties, and no other column")
 
+    beside = Window.partitionBy(key).orderBy(*order)
+    within = {
+        **{new: F.lead(old).over(beside) for new, old in following.items()},
+        **{new: F.lag(old).over(beside) for new, old in preceding.items()},
+    }
+    if largest is not None and largest <= most:
+        return rows.withColumns(within)
     counts = rows.groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__rows"))
     hot = counts.where(F.col("__rows") > most).select("__hot")
     is_hot = F.col(key).eqNullSafe(F.col("__hot"))
     cold = rows.join(hot, is_hot, "left_anti")
-    beside = Window.partitionBy(key).orderBy(*order)
-    found = cold.withColumns(
-        {
-            **{new: F.lead(old).over(beside) for new, old in following.items()},
-            **{new: F.lag(old).over(beside) for new, old in preceding.items()},
-        }
-    )
+    found = cold.withColumns(within)
     return found.unionByName(
         _of_hot_keys(rows.join(hot, is_hot, "left_semi"), key, order, following, preceding)
     )

@@ -46,15 +46,19 @@ def exploded_ids(
     no id is looked up in ``names`` (columns ``id``, ``name`` and ``project_id``)
     when given: a name counts within the issue's own project only, as projects
     name their parts alike.  ``homes`` (``id`` and ``project_id`` of the issues)
-    tells the project; an issue without one matches no name.  Without any such
-    column the bridge is empty, with the same schema.
+    tells the project; an issue without one matches no name.  Text formats such as
+    CSV hold an array as JSON text, which is read as an array of text; other text has
+    no elements.  Without any such column the bridge is empty, with the same schema.
     """
     issue_id = resolve(issues.columns, Target("issue_id", "string", ("id",), required=True))
     found = present_name(issues.columns, spellings)
     if found is None:
         return issues.select(issue_id, F.lit(None).cast("bigint").alias(output)).where(F.lit(False))
-    kind = issues.schema[found].dataType.elementType
-    elements = issues.select(issue_id, F.explode(F.col(f"`{found}`")).alias("element")).where(
+    array, kind = F.col(f"`{found}`"), issues.schema[found].dataType
+    if isinstance(kind, T.StringType):
+        array, kind = F.from_json(array, "array<string>"), T.ArrayType(T.StringType())
+    kind = kind.elementType
+    elements = issues.select(issue_id, F.explode(array).alias("element")).where(
         F.col("element").isNotNull()
     )
     element = F.col("element")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -59,6 +60,30 @@ class ExpectationViolated(ValueError):
     """Rows of a table break an expectation that must hold."""
 
 
+@dataclass(frozen=True)
+class HeavyKey:
+    """A bound of how many rows with ``where`` have one value of ``column``.
+
+    A frequent-items sketch of a fixed size is merged over all tasks.  It names the most
+    frequent value with an estimate that is never too low, unless that value's share is
+    below the sketch's error; then twice the error is the bound.
+    """
+
+    column: str
+    where: str
+    tracked: int = 10_000
+
+    def sketch(self) -> Column:
+        # All other rows are the value null, which may be the most frequent one.
+        return F.expr(f"approx_top_k(CASE WHEN {self.where} THEN {self.column} END, 2, {self.tracked})")
+
+    def bound(self, top: Sequence | None, rows: int) -> int:
+        """From the sketch's answer over at most ``rows`` rows."""
+        slots = 1 << (self.tracked * 4 // 3 - 1).bit_length()
+        error = math.ceil(3.5 * rows / slots)
+        return max([2 * error, *(entry["count"] for entry in top or () if entry["item"] is not None)])
+
+
 class Watch:
     """Counts the rows that hold, as a side result of whatever reads the watched frame.
 
@@ -68,13 +93,14 @@ class Watch:
     write is its only stage counts each row once.
     """
 
-    def __init__(self, table: str, expectations: Sequence[Expectation]):
-        self.table, self.expectations = table, list(expectations)
+    def __init__(self, table: str, expectations: Sequence[Expectation], heavy: Mapping[str, HeavyKey] | None = None):
+        self.table, self.expectations, self.heavy = table, list(expectations), dict(heavy or {})
         self._seen = Observation(f"{table}-{uuid.uuid4().hex}")
 
     def over(self, frame: DataFrame) -> DataFrame:
         passed = [F.count_if(one.holds()).alias(one.name) for one in self.expectations]
-        return frame.observe(self._seen, F.count(F.lit(1)).alias(ROWS), *passed)
+        tops = [key.sketch().alias(name) for name, key in self.heavy.items()]
+        return frame.observe(self._seen, F.count(F.lit(1)).alias(ROWS), *passed, *tops)
 
     def counts(self) -> dict[str, int]:
         """Rows, and rows that hold for each expectation, once the frame was read.
@@ -82,7 +108,9 @@ class Watch:
         Stops where an expectation that must hold does not, so that what was written is
         not committed.
         """
-        counts = {name: int(value) for name, value in self._seen.get.items()}
+        seen = self._seen.get
+        counts = {name: int(value) for name, value in seen.items() if name not in self.heavy}
+        counts |= {name: key.bound(seen[name], counts[ROWS]) for name, key in self.heavy.items()}
         for one in self.expectations:
             if one.action == FAIL and counts[one.name] < counts[ROWS]:
                 bad = counts[ROWS] - counts[one.name]

@@ -139,8 +139,9 @@ def fct_issue(
 ) -> DataFrame:
     """One wide row per issue with its lookups, epic, current sprint and times.
 
-    The three tables keyed by issue are joined first, while rows are narrowest
-    and still share one partitioning; the sprint name comes with them.
+    Names are looked up on narrow rows, the issue and its keys, and come back by issue.  So
+    the wide rows with their summaries and labels are shuffled once, by issue, however
+    large the lookups are; all that is keyed by issue shares that partitioning.
     """
     sprint_names = _lookup(
         dim_sprint, "sprint_id", current_sprint_id="sprint_id", current_sprint_name="sprint_name"
@@ -161,19 +162,31 @@ def fct_issue(
         _lookup(users, "account_id", assignee_id="account_id", assignee_name="display_name"),
         _lookup(users, "account_id", reporter_id="account_id", reporter_name="display_name"),
     )
+    issues = issues.withColumnRenamed("id", "issue_id")
+    keys = [lookup.columns[0] for lookup in lookups]
+    # An id may stand in several rows that differ in their keys: each kind is looked up once.
+    names = issues.select("issue_id", *keys).distinct()
+    for lookup in lookups:
+        names = names.join(lookup, lookup.columns[0], "left")
+    found = [name for name in names.columns if name not in ("issue_id", *keys)]
+    names = names.select("issue_id", F.struct(*keys).alias("__of"), *found)
     rows = (
-        issues.withColumnRenamed("id", "issue_id")
-        .join(epics, "issue_id", "left")
+        issues.join(epics, "issue_id", "left")
         .join(sprint_of_issue.join(sprint_names, "current_sprint_id", "left"), "issue_id", "left")
         .join(started.withColumnRenamed("started_at", "first_in_progress_at"), "issue_id", "left")
+        .withColumn("__keys", F.struct(*keys))
     )
-    for lookup in lookups:
-        rows = rows.join(lookup, lookup.columns[0], "left")
+    # The keys are compared inside an array, so that only the issue decides the partitioning.
+    same = (rows["issue_id"] == names["issue_id"]) & F.array_contains(F.array(names["__of"]), rows["__keys"])
+    rows = rows.join(names, same, "left").drop(names["issue_id"])
     return issue_times(rows, config).select(*ISSUE_FACT_LAYOUT)
 
 
-def status_changes(history: DataFrame, config: LayerConfig) -> DataFrame:
-    """Status values per issue in time order, with the one before and the exit time."""
+def status_changes(history: DataFrame, config: LayerConfig, largest: int | None = None) -> DataFrame:
+    """Status values per issue in time order, with the one before and the exit time.
+
+    ``largest`` is a bound of the changes of one issue, where it is known.
+    """
     return with_neighbours(
         status_history(history, config),
         key="issue_id",
@@ -181,6 +194,7 @@ def status_changes(history: DataFrame, config: LayerConfig) -> DataFrame:
         ties=["value"],
         following={"exited_at": "updated_at"},
         preceding={"prev_status_id_raw": "value"},
+        largest=largest,
     ).select(
         "issue_id",
         F.col("value").alias("status_id_raw"),

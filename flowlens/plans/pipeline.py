@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from flowlens.config import LayerConfig
 from flowlens.operators import aggregates, bridges, dimensions, entities, facts, history
-from flowlens.operators.expectations import Watch, audit, audit_lines, enforce, require, union_all
+from flowlens.operators.expectations import HeavyKey, Watch, audit, audit_lines, enforce, require, union_all
 from flowlens.operators.projections import EXPECTATIONS, PROJECTIONS
 
 
+# The count that bounds the status changes of one issue.
+CHANGES = "changes_of_an_issue"
+
+
 class Source(Protocol):
     def table(self, name: str) -> DataFrame: ...
 
@@ -39,10 +43,25 @@ class Node:
     build: Callable[..., DataFrame]
     needs: tuple[str, ...]
     configured: bool = False
+    # A count of an input's write that ``build`` takes as ``largest``: (table, count).
+    largest: tuple[str, str] | None = None
+
 
+def node(
+    build: Callable[..., DataFrame],
+    needs: str,
+    configured: bool = False,
+    largest: tuple[str, str] | None = None,
+) -> Node:
+    return Node(build, tuple(needs.split()), configured, largest)
 
-def node(build: Callable[..., DataFrame], needs: str, configured: bool = False) -> Node:
-    return Node(build, tuple(needs.split()), configured)
+
+def heavy_keys(table: str, config: LayerConfig) -> dict[str, HeavyKey]:
+    """Keys whose rows are bounded while a table is written."""
+    if table != "silver.issue_field_history":
+        return {}
+    field = config.status_field_id.replace("'", "''")
+    return {CHANGES: HeavyKey("issue_id", f"field_id = '{field}'")}
 
 
 def _silver() -> dict[str, Node]:
@@ -90,7 +109,12 @@ STEPS = {
         configured=True,
     ),
     "current_sprint": node(facts.current_sprint, "silver.sprint_issue silver.sprint"),
-    "status_changes": node(facts.status_changes, "silver.issue_field_history", configured=True),
+    "status_changes": node(
+        facts.status_changes,
+        "silver.issue_field_history",
+        configured=True,
+        largest=("silver.issue_field_history", CHANGES),
+    ),
 }
 
 GOLD = {
@@ -204,7 +228,7 @@ class Pipeline:
         expectations = EXPECTATIONS.get(name, ()) if layer == "silver" else ()
         if not expectations:
             return self.store.save(key, self.frame(key))
-        watch = Watch(name, expectations)
+        watch = Watch(name, expectations, heavy_keys(key, self.config))
         watched = enforce(watch.over(self.frame(key, checked=False)), name, expectations)
         return self.store.save(key, watched, watch.counts)
 
@@ -215,7 +239,11 @@ class Pipeline:
             return self.source.table(name)
         made = LAYERS[layer][name]
         inputs = self.tables(made.needs)
-        frame = made.build(*inputs, self.config) if made.configured else made.build(*inputs)
+        settings = [self.config] if made.configured else []
+        if made.largest and self.store is not None:
+            table, count = made.largest
+            settings.append(self.store.counts(table).get(count))
+        frame = made.build(*inputs, *settings)
         if layer == "silver" and checked:
             check = require if self.check_ahead and self.store is None else enforce
             frame = check(frame, name, EXPECTATIONS.get(name, ()))

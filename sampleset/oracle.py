@@ -1186,6 +1186,13 @@ for _name, _columns in DATES.items():
     QUERIES[_name] = f"SELECT * REPLACE ({_texts}) FROM ({QUERIES[_name].strip()})"
 
 
+QUERIES["bridge_component_names"] = """
+SELECT DISTINCT CAST(i.id AS VARCHAR) AS issue_id, c.id AS component_id
+FROM (SELECT id, unnest(component_ids) % 5 AS short FROM b_issues) i
+JOIN s_issue s ON s.id = CAST(i.id AS VARCHAR)
+JOIN s_component c ON c.id % 5 = i.short AND c.project_id = s.project_id"""
+QUERIES["bridge_version_names"] = "SELECT * FROM s_issue_version"
+
 # The merged forms of three reports hold the same rows.
 QUERIES["summary_issue_by_project"] = QUERIES["metric_issue_by_project"]
 QUERIES["summary_transitions_by_status"] = QUERIES["metric_transitions_by_status"]

@@ -170,6 +170,27 @@ def _missing_sources(layer: MetricLayer) -> DataFrame:
     return union_all(parts)
 
 
+def _component_names(layer: MetricLayer) -> DataFrame:
+    """Components of issues by name; five names, each used in several projects."""
+    p = layer.pipeline
+    name = lambda number: F.concat(F.lit("Component "), (number % 5).cast("string"))
+    issues = p.bronze("issues").select("id", F.transform("component_ids", name).alias("components"))
+    components = p.silver("component").withColumn("name", name(F.col("id")))
+    return bridges.issue_component(issues, components, p.silver("issue"))
+
+
+def _version_names(layer: MetricLayer) -> DataFrame:
+    """Versions of issues, every other one by a name that all projects use."""
+    p = layer.pipeline
+
+    def named(version: Column) -> Column:
+        by_name = F.concat(F.lit("Release "), (version % 10000).cast("string"))
+        return F.when(version % 2 == 0, by_name).otherwise(version.cast("string"))
+
+    issues = p.bronze("issues").select("id", F.transform("fix_version_ids", named).alias("fix_versions"))
+    return bridges.issue_version(issues, p.silver("version"), p.silver("project_version"), p.silver("issue"))
+
+
 def _priority_or_join(layer: MetricLayer) -> DataFrame:
     """Issues that name one priority by id and another by name get both."""
     p = layer.pipeline
@@ -273,6 +294,8 @@ def _build() -> dict[str, Query]:
     found: dict[str, LayerQuery] = {
         "bronze_resolve_columns": _resolved_columns,
         "bridge_missing_source_empty": _missing_sources,
+        "bridge_component_names": _component_names,
+        "bridge_version_names": _version_names,
         "build_all_row_counts": lambda layer: layer.pipeline.row_counts(),
         "expect_fail_metrics": lambda layer: layer.pipeline.audit("fail"),
         "expect_drop_issue_link": _dropped_links,

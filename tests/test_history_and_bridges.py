@@ -1,5 +1,6 @@
 from flowlens.operators import bridges, history
 from flowlens.operators.projections import PROJECTIONS
+from flowlens.sources.readers import FileSource
 
 
 def pairs(frame):
@@ -91,3 +92,18 @@ def test_link_id_skips_missing_parts(spark):
     assert sorted(row.id for row in rows) == ["1-2-blocks", "1-blocks"]
     kinds = PROJECTIONS["issue_link_type"].build(links).collect()
     assert [row.name for row in kinds] == ["Blocks"]
+
+
+def test_arrays_of_text_formats_are_json(spark, tmp_path):
+    """CSV has no arrays: JSON text is read as one, other text has no elements."""
+    lines = ["id;sprint_ids;fix_versions", '1;[4, 5];["Next"]', "2;;[]", "3;no list;[7]", '4;["6"];null']
+    (tmp_path / "issues_without_deletes.csv").write_text("\n".join(lines))
+    source = FileSource(spark, str(tmp_path), "csv", {"header": "true", "sep": ";"}, ".csv")
+    issues = source.table("issues")
+    assert dict(issues.dtypes)["sprint_ids"] == "string"
+    assert sorted(map(tuple, bridges.sprint_issue(issues).collect())) == [(4, "1"), (5, "1"), (6, "4")]
+    versions = spark.createDataFrame([(9, "Next")], "id long, name string")
+    owners = spark.createDataFrame([(9, 1)], "version_id long, project_id long")
+    homes = spark.createDataFrame([("1", 1)], "id string, project_id long")
+    found = bridges.issue_version(issues, versions, owners, homes)
+    assert sorted(map(tuple, found.collect())) == [("1", 9), ("3", 7)]
