@@ -8,8 +8,12 @@ of the embedding finds them: the 32 dimensions form ``blocks`` groups, and as
 every unit of distance touches one group only, some ``blocks - most`` groups
 agree entirely.  Each combination of so many groups is one grid whose cells are
 the points of that subspace; fingerprints meet in a common cell, are held against
-the Manhattan bound, and then compared bit by bit.  A pair is only kept in the
-first grid in which it meets, so no duplicate links arise.
+the Manhattan bound, and then compared bit by bit.
+
+Only components are wanted, so the fingerprints of a cell are first compared with its
+smallest one: a dense cell becomes a star, as many links as fingerprints.  Then those are
+compared whose components still differ, and what is kept of their links is which
+components meet.  A pair is only kept in the first grid in which it meets.
 
 Equal texts share a fingerprint and are joined by it before any search, so a
 group of copies costs one row per grid however large it is.
@@ -107,8 +111,8 @@ def block_masks(blocks: int = BLOCKS) -> list[int]:
     return [sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(cuts, cuts[1:])]
 
 
-def near_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
-    """All pairs (a, b) of different fingerprints that differ in at most ``most`` bits."""
+def _points(distinct: DataFrame, most: int, blocks: int) -> DataFrame:
+    """Each fingerprint once per grid: own (the grid), upto, cell and counts beside its columns."""
     if blocks <= most:
         raise ValueError("more groups of segments than differing bits are needed")
     masks = block_masks(blocks)
@@ -119,11 +123,28 @@ def near_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> D
         upto = (2 << chosen[-1]) - 1  # groups up to the last chosen one
         cell = F.col("counts").bitwiseAND(F.lit(_signed(mask)))
         grids.append(F.struct(F.lit(own).alias("own"), F.lit(upto).alias("upto"), cell.alias("cell")))
-    points = (
-        distinct.select("fp", popcounts(F.col("fp")).alias("counts"))
-        .select("fp", "counts", F.explode(F.array(*grids)).alias("grid"))
-        .select("fp", "counts", "grid.*")
-    )
+    points = distinct.withColumn("counts", popcounts(F.col("fp")))
+    return points.select("*", F.explode(F.array(*grids)).alias("grid")).select(*points.columns, "grid.*")
+
+
+def _near(a: Column, b: Column, most: int) -> Column:
+    """Within the Manhattan bound, and then by the bits themselves."""
+    return (manhattan(popcounts(a), popcounts(b)) <= most) & (F.bit_count(a.bitwiseXOR(b)) <= most)
+
+
+def star_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
+    """Links (a, b) of each cell's fingerprints to the cell's smallest, b."""
+    points = _points(distinct.select("fp"), most, blocks)
+    cells = points.groupBy("own", "cell").agg(F.min("fp").alias("b"), F.max("fp").alias("last"))
+    cells = cells.where("b <> last").drop("last")
+    joined = points.join(cells, ["own", "cell"]).where(F.col("fp") != F.col("b"))
+    return joined.where(_near(F.col("fp"), F.col("b"), most)).select(F.col("fp").alias("a"), "b").distinct()
+
+
+def _meetings(rooted: DataFrame, most: int, blocks: int) -> DataFrame:
+    """Rows a and b of ``rooted`` (fp, root) that are near and of different roots, each pair once."""
+    points = _points(rooted, most, blocks)
+    masks = block_masks(blocks)
     a, b = points.alias("a"), points.alias("b")
     apart = F.col("a.counts").bitwiseXOR(F.col("b.counts"))
     agreed = sum(
@@ -138,10 +159,34 @@ def near_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> D
         (F.col("a.own") == F.col("b.own"))
         & (F.col("a.cell") == F.col("b.cell"))
         & (F.col("a.fp") < F.col("b.fp"))
+        & (F.col("a.root") != F.col("b.root"))
         & (manhattan(F.col("a.counts"), F.col("b.counts")) <= most)
         & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= most)
         & (agreed.bitwiseAND(F.col("a.upto")) == F.col("a.own")),
-    ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    )
+
+
+def near_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
+    """All pairs (a, b) of different fingerprints that differ in at most ``most`` bits."""
+    alone = distinct.select("fp", F.col("fp").alias("root"))
+    return _meetings(alone, most, blocks).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+
+
+def meeting_roots(rooted: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
+    """Pairs (a, b) of different roots that have near fingerprints; ``rooted`` is (fp, root)."""
+    met = _meetings(rooted, most, blocks)
+    return met.select(F.col("a.root").alias("a"), F.col("b.root").alias("b")).distinct()
+
+
+def near_components(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
+    """(node, root) of every fingerprint that is near to another; ``root`` is the smallest reached."""
+    stars = land(star_links(distinct, most, blocks), "stars")
+    roots = land(components(stars), "star_roots")
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root")
+    )
+    meetings = land(meeting_roots(land(rooted, "rooted"), most, blocks), "meetings")
+    return components(stars.unionByName(meetings))
 
 
 def near_duplicates(docs: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
@@ -155,7 +200,7 @@ def near_duplicates(docs: DataFrame, most: int = MOST, blocks: int = BLOCKS) ->
     """
     rows = land(fingerprints(docs), "fingerprints")
     distinct = land(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    found = components(near_links(distinct.select("fp"), most, blocks)).withColumnRenamed("root", "low")
+    found = near_components(distinct.select("fp"), most, blocks).withColumnRenamed("root", "low")
     named = distinct.join(found, distinct.fp == found.node, "left").select(
         "fp", "first", F.coalesce("low", "fp").alias("root")
     )
