@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -323,3 +323,74 @@ SLICES: dict[str, Slice] = {
     "ds_flow_series": Slice("issue", _PROJECT, _lately_moved),
     "ds_worklog": Slice("worklog", _PROJECT),
 }
+
+
+@dataclass(frozen=True)
+class Fold:
+    """A dataset's totals per project as aggregates of a view, with its row filter inside them.
+
+    ``measures`` maps the dataset's columns to measures of the view, ``totals`` to aggregates
+    over its fields.  Datasets folded over one view share one scan and one aggregation.
+    """
+
+    view: str
+    measures: Mapping[str, str]
+    totals: Mapping[str, Callable[[MetricLayer], Callable[[Callable[[str], Column]], Column]]]
+    # Aggregates over the dataset's rows that may be taken over its totals per project.
+    allowed: tuple[str, ...]
+    # Columns computed from measures.
+    derived: Mapping[str, Callable[[Callable[[str], Column]], Column]] = field(default_factory=dict)
+
+
+def _median_of(name: str) -> Callable[[MetricLayer], Callable[[Callable[[str], Column]], Column]]:
+    def build(layer: MetricLayer) -> Callable[[Callable[[str], Column]], Column]:
+        kept = _lately_resolved(layer)
+        return lambda f: percentile(F.when(kept(f), f(name)), 0.5)
+
+    return build
+
+
+def _open_flag(condition: Callable[[Callable[[str], Column]], Column]):
+    return lambda layer: lambda f: F.sum(F.when(~f("Is Resolved"), flag(condition(f))))
+
+
+def _stale(f: Callable[[str], Column]) -> Column:
+    return f("Age (days)") > STALE_AFTER_DAYS
+
+
+# Datasets over the issue view, whose counters come from one aggregation by project.
+FOLDS: dict[str, Fold] = {
+    "ds_issue_kpi": Fold(
+        "issue",
+        {
+            "open_issues": "Open Issues",
+            "open_critical": "Open Critical",
+            "wip_issues": "WIP Issues",
+            "unassigned_open": "Unassigned Open",
+            "overdue_open": "Overdue Open",
+            "created_30d": "Created (30d)",
+            "resolved_30d": "Resolved (30d)",
+        },
+        {},
+        ("SUM", "MAX", "MIN", "AVG"),
+        {"net_backlog_30d": lambda v: v("Created (30d)") - v("Resolved (30d)")},
+    ),
+    "ds_issue_medians": Fold(
+        "issue",
+        {},
+        {"median_cycle": _median_of("Cycle Time (days)"), "median_lead": _median_of("Lead Time (days)")},
+        ("SUM", "MAX", "MIN", "AVG"),
+    ),
+    "ds_issue_open": Fold(
+        "issue",
+        {},
+        {
+            "is_stale_open": _open_flag(_stale),
+            "is_stale_critical": _open_flag(lambda f: _stale(f) & f("Priority").isin(*CRITICAL_PRIORITIES)),
+            "is_unassigned": _open_flag(lambda f: f("Is Unassigned")),
+            "is_overdue": _open_flag(lambda f: f("Is Overdue")),
+            "is_wip": _open_flag(lambda f: f("Is WIP")),
+        },
+        ("SUM",),
+    ),
+}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.expectations import union_all
-from flowlens.plans.datasets import DATASETS, SLICES, Slice
+from flowlens.plans.datasets import DATASETS, FOLDS, SLICES, Slice
 from flowlens.semantic.layer import MetricLayer
 
 # The aggregates a gadget may use.
@@ -126,17 +126,53 @@ def selected(section: str, dataset: str, choices: Filters | None) -> dict[str, S
     }
 
 
+def _folded(layer: MetricLayer, members: list[Counter], choices: Filters) -> DataFrame:
+    """One row of counters over datasets that are folds of one view, from one scan of it."""
+    measures, adhoc, derived = {}, {}, {}
+    for counter in members:
+        fold, label = FOLDS[counter.dataset], f"{counter.dataset}__{counter.column}"
+        if counter.column in fold.measures:
+            measures[label] = fold.measures[counter.column]
+        elif counter.column in fold.derived:
+            derived[label] = fold.derived[counter.column]
+        else:
+            adhoc[label] = fold.totals[counter.column](layer)
+    totals = layer.view(FOLDS[members[0].dataset].view).query(
+        {"project_key": "Project Key"}, measures, adhoc=adhoc, derived=derived
+    )
+    return filtered(totals, choices).agg(
+        *[
+            aggregate(counter.function, f"{counter.dataset}__{counter.column}").alias(f"value_{position}")
+            for position, counter in enumerate(members)
+        ]
+    )
+
+
+def _foldable(counter: Counter) -> bool:
+    fold = FOLDS.get(counter.dataset)
+    if fold is None or counter.function not in fold.allowed:
+        return False
+    return any(counter.column in columns for columns in (fold.measures, fold.totals, fold.derived))
+
+
 def counters(layer: MetricLayer, section: str, choices: Filters | None = None) -> DataFrame:
     """The counters of a section as (section, counter, value) rows.
 
-    Counters over one dataset come from one aggregation of it.
+    Counters over datasets that are folds of one view come from one aggregation by project,
+    as far as the same choices reach them; others over one dataset from one aggregation
+    of it.
     """
-    by_dataset: dict[str, list[Counter]] = {}
+    groups: dict[tuple, list[Counter]] = {}
     for counter in COUNTERS[section]:
-        by_dataset.setdefault(counter.dataset, []).append(counter)
+        chosen = selected(section, counter.dataset, choices)
+        if _foldable(counter) and set(chosen) <= {"project_key"}:
+            key = ("fold", FOLDS[counter.dataset].view, *map(tuple, chosen.values()))
+        else:
+            key = ("dataset", counter.dataset)
+        groups.setdefault(key, []).append(counter)
     parts = []
-    for dataset, members in by_dataset.items():
-        frame = filtered(DATASETS[dataset](layer), selected(section, dataset, choices))
+    for (kind, *_), members in groups.items():
+        chosen = selected(section, members[0].dataset, choices)
         lines = [
             F.struct(
                 F.lit(section).alias("section"),
@@ -145,12 +181,15 @@ def counters(layer: MetricLayer, section: str, choices: Filters | None = None) -
             )
             for position, counter in enumerate(members)
         ]
-        totals = frame.agg(
-            *[
-                aggregate(counter.function, counter.column).alias(f"value_{position}")
-                for position, counter in enumerate(members)
-            ]
-        )
+        if kind == "fold":
+            totals = _folded(layer, members, chosen)
+        else:
+            totals = filtered(DATASETS[members[0].dataset](layer), chosen).agg(
+                *[
+                    aggregate(counter.function, counter.column).alias(f"value_{position}")
+                    for position, counter in enumerate(members)
+                ]
+            )
         parts.append(totals.select(F.explode(F.array(*lines)).alias("line")).select("line.*"))
     return union_all(parts)
 

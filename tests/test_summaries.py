@@ -140,3 +140,20 @@ def test_selector_values_are_those_of_the_datasets(layer, section):
 
 def test_slices_name_datasets():
     assert set(SLICES) <= set(DATASETS)
+
+
+@pytest.mark.parametrize(("section", "tables"), [("flow", 1), ("portfolio", 2), ("team", 3)])
+def test_counters_read_each_gold_table_once(layer, section, tables):
+    plan = gadgets.counters(layer, section)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == tables, plan
+
+
+@pytest.mark.parametrize("section", list(gadgets.COUNTERS))
+@pytest.mark.parametrize("choices", [None, {"project_key": ["NATION_3", "NATION_7"]}, {"project_key": ["none"]}])
+def test_counters_equal_the_aggregates_of_their_datasets(layer, section, choices):
+    found = {row.counter: row.value for row in gadgets.counters(layer, section, choices).collect()}
+    assert len(found) == len(gadgets.COUNTERS[section])
+    for counter in gadgets.COUNTERS[section]:
+        rows = gadgets.filtered(DATASETS[counter.dataset](layer), gadgets.selected(section, counter.dataset, choices))
+        want = rows.agg(gadgets.aggregate(counter.function, counter.column).cast("double")).first()[0]
+        assert close(found[counter.title], want), counter
