@@ -112,20 +112,13 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def attach(rows: DataFrame, table: DataFrame, key: Column, on: str, most: int = 200_000) -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, key: Column, on: str) -> DataFrame:
     """Inner join of rows to a landed table on ``key <=> table[on]``.
 
-    A table of at most ``most`` rows is sent to all executors.  A larger one is
-    shuffled, and as a key may hold a third of all rows, rows are dealt over salts
-    and each entry of the table goes to every salt.
+    The table's real size is known as it is landed: Spark sends it to all executors below
+    its own threshold, and else shuffles both sides and splits the partitions of a hot key.
     """
-    if table.limit(most + 1).count() <= most:
-        return rows.join(F.broadcast(table), key.eqNullSafe(F.col(on)))
-    salts = 32
-    salted = rows.withColumn("__salt", (F.rand(7) * salts).cast("int"))
-    spread = table.withColumn("__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(spread, key.eqNullSafe(F.col(on)) & (F.col("__salt") == F.col("__of")))
-    return joined.drop("__salt", "__of")
+    return rows.join(table, key.eqNullSafe(F.col(on)))
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:

@@ -66,6 +66,9 @@ def _log_term(rate: Column, count: Column) -> Column:
     away = (rate - n) / n
     return n * (F.log1p(away) - away) - 0.5 * F.log(2 * F.lit(math.pi) * n) - series
 
+# Characters of text in one partition of the mixture, about.
+PART_CHARACTERS = 64 << 20
+
 
 def source_rates(
     docs: DataFrame, weights: dict[str, float] | None = None, power: float = POWER, budget: float = 1.0
@@ -77,6 +80,11 @@ def source_rates(
     sources that they do not name get none.  The mixture holds ``budget`` times the
     present text.  A null source is a source of its own.
     """
+    return _rates(docs, weights, power, budget).select("source", "rate")
+
+
+def _rates(docs: DataFrame, weights: dict[str, float] | None, power: float, budget: float) -> DataFrame:
+    """(source, rate, mass): the rates with the characters that each source has now."""
     size = (F.coalesce(F.length(docs["text"]), F.lit(0)) + 1).cast("long")
     mass = docs.groupBy(docs["source"].alias("source")).agg(F.sum(size).alias("mass"))
     mass = land(mass, "masses")
@@ -90,10 +98,10 @@ def source_rates(
     # Two numbers, however many sources there are.
     present, wishes = wished.agg(F.sum("mass"), F.sum("wanted")).first()
     if not wishes:
-        return wished.select("source", F.lit(0.0).alias("rate"))
+        return wished.select("source", F.lit(0.0).alias("rate"), "mass")
     scale = budget * (present or 0) / wishes
     rate = F.col("wanted") * F.lit(float(scale)) / F.col("mass")
-    return wished.select("source", rate.alias("rate"))
+    return wished.select("source", rate.alias("rate"), "mass")
 
 
 def mix(
@@ -108,27 +116,33 @@ def mix(
     Rows come in ascending ``mix_order``, spread over all partitions.  Repeated
     rows have the same count each; null ids, texts and sources are hashed as
     the word null; no documents give no rows.  Columns of ``docs`` named like the
-    two new ones are replaced.
+    two new ones are replaced, all others may have any name.
     """
-    rates = source_rates(docs, weights, power, budget).select(
-        F.col("source").alias("__source"), F.col("rate").alias("__rate")
+    rates = _rates(docs, weights, power, budget).select(
+        F.col("source").alias("of_source"), "rate", (F.col("rate") * F.col("mass")).alias("wished")
     )
     rates = land(rates, "rates")
-    shown = F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))
-    content = F.md5(F.coalesce(docs["text"], F.lit("null")))
     names = [name for name in docs.columns if name not in ("mix_copy", "mix_order")]
-    counted = docs.select(*[docs[name] for name in names], shown.alias("__shown"), content.alias("__content"))
-    counted = attach(counted, rates, F.col("source"), "__source")
-    point = unit(seed, F.col("__shown"), F.col("__content"))
-    copies = let(point, lambda at: poisson(F.col("__rate"), at))
-    exploded = counted.withColumn("__copies", copies).where("__copies > 0").select(
-        *names, "__shown", "__content", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("mix_copy")
+    # The row is one column on its way, so its names meet no others.
+    rows = docs.select(
+        F.struct(*[docs[f"`{name}`"] for name in names]).alias("row"),
+        docs["source"].alias("source"),
+        F.coalesce(docs["doc_id"].cast("string"), F.lit("null")).alias("shown"),
+        F.md5(F.coalesce(docs["text"], F.lit("null"))).alias("content"),
+    )
+    counted = attach(rows, rates, F.col("source"), "of_source")
+    point = unit(seed, F.col("shown"), F.col("content"))
+    copies = let(point, lambda at: poisson(F.col("rate"), at))
+    exploded = counted.withColumn("copies", copies).where("copies > 0").select(
+        "row", "shown", "content", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_copy")
     )
-    ordered = exploded.withColumn(
-        "mix_order", unit(seed, F.lit("order"), F.col("__shown"), F.col("__content"), F.col("mix_copy").cast("string"))
-    ).drop("__shown", "__content")
+    order = unit(seed, F.lit("order"), F.col("shown"), F.col("content"), F.col("mix_copy").cast("string"))
+    ordered = exploded.withColumn("mix_order", order).select("row", "mix_copy", "mix_order")
     # The order is uniform, so equal ranges of it are partitions of equal size:
-    # no pass over the data is needed to find the bounds.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # no pass over the data is needed to find the bounds, and their number follows the text.
+    wished = rates.agg(F.sum("wished")).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, math.ceil(wished / PART_CHARACTERS))
     place = F.floor(F.col("mix_order") * parts).cast("int")
-    return ordered.repartitionById(parts, place).sortWithinPartitions("mix_order")
+    placed = ordered.repartitionById(parts, place).sortWithinPartitions("mix_order")
+    return placed.select("row.*", "mix_copy", "mix_order")
