@@ -214,6 +214,17 @@ def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _in_sieve(docs: DataFrame, marks: DataFrame):
+    """A predicate over 64-bit hashes that is true for all in ``marks``, and for few others."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve_of_column(marks, "mark"))
+
+    @F.pandas_udf(T.BooleanType())
+    def held(hashes: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(sent.value, hashes.to_numpy(np.int64)))
+
+    return held
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id.
 
@@ -224,12 +235,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     one in another component, and where no row has a doc_id.  Null texts are alike.  An
     empty table stays empty; all columns stay as they are, whatever their names.
 
-    Most rows stay.  A fixed bitmap (``sieve``) of the rows in doubt tells which stay for
+    Of copies, one is searched for near-duplicates; a fixed bitmap (``sieve``) of these
+    tells the others.  Most rows stay: another one, of the rows in doubt, tells which stay for
     certain, so only the others are shuffled.
     """
     named = docs.select(key_of(docs["text"]).alias("key"), docs["doc_id"].alias("id"))
     groups = land(named.groupBy("key", "id").agg(F.count(F.lit(1)).alias("rows")), "groups")
-    found = land(similar_texts(docs), "similar")
+    mark = F.xxhash64("key", "id")
+    row = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
+    rows = docs.select(row, key_of(docs["text"]).alias("key"), docs["doc_id"].alias("id"))
+    first = groups.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("one"))
+    first = first.select("key", "one.id").select(mark.alias("mark"))
+    searched = rows.where(_in_sieve(docs, first)(mark)).select(F.col("row.text").alias("text"))
+    found = land(similar_texts(searched), "similar")
     # The smallest doc_id of a component, with the smallest of its texts; null comes last.
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
     best = groups.join(found.hint("merge"), groups["key"] == found["node"], "left")
@@ -239,18 +257,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stays = groups.join(best.hint("merge"), same, "left").select("key", "id", "rows", F.col("kept").isNotNull().alias("stays"))
     doubtful = land(stays.where("not stays or rows > 1").select("key", "id", "stays"), "doubtful")
 
-    mark = F.xxhash64("key", "id")
-    marks = docs.sparkSession.sparkContext.broadcast(
-        sieve_of_column(doubtful.select(mark.alias("mark")), "mark")
-    )
-
-    @F.pandas_udf(T.BooleanType())
-    def in_doubt(marks_of: pd.Series) -> pd.Series:
-        return pd.Series(may_hold(marks.value, marks_of.to_numpy(np.int64)))
-
-    rows = docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"))
-    rows = rows.select("row", key_of(F.col("row.text")).alias("key"), F.col("row.doc_id").alias("id"))
-    rows = rows.withColumn("doubt", in_doubt(mark))
+    rows = rows.withColumn("doubt", _in_sieve(docs, doubtful.select(mark.alias("mark")))(mark))
     certain = rows.where(~F.col("doubt")).select("row.*")
     left = doubtful.select(F.col("key").alias("at"), F.col("id").alias("at_id"), "stays")
     doubted = rows.where("doubt").join(
