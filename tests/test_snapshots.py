@@ -107,7 +107,9 @@ def test_a_failed_catalog_write_leaves_the_old_table(spark):
     with pytest.raises(PySparkException, match="lost"):
         store.save("silver.priority", broken)
     assert spark.table("silver_s.priority").count() == 1
-    assert [row.tableName for row in spark.sql("SHOW TABLES IN silver_s").collect()] == ["priority"]
+    assert [row.tableName for row in spark.sql("SHOW TABLES IN silver_s").where("not isTemporary").collect()] == [
+        "priority"
+    ]
 
 
 def test_audit_comes_from_the_build(spark, tmp_path):
