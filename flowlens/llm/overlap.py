@@ -15,6 +15,7 @@ Only components are wanted.  Each posting list has its smallest text as its head
 is first held against the smallest of its lists' heads, which joins a large group of near
 copies with one comparison a text; then against the other heads that are still in another
 component; then pairs of a list are compared whose texts are still in different ones.
+Pairs that another method proposes are compared first, and leave fewer texts apart.
 """
 
 from __future__ import annotations
@@ -66,15 +67,31 @@ def key_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def _frequent(docs: DataFrame) -> dict[int, int]:
+class Chosen:
+    """Which rows of a table are searched: all, or those whose ``mark`` a sieve may hold.
+
+    The tasks that read the texts ask it themselves, so that no second worker sits before them.
+    """
+
+    def __init__(self, sent=None):
+        self.sent = sent
+
+    def of(self, marks: pa.Array | pd.Series) -> np.ndarray:
+        if self.sent is None:
+            return np.ones(len(marks), bool)
+        return may_hold(self.sent.value, np.asarray(marks, dtype=np.int64))
+
+
+def _frequent(docs: DataFrame, chosen: Chosen) -> dict[int, int]:
     """Ranks, from 1, of the shingles that most sampled texts have."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def tokens(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles_of(text) for text in texts])
+    def tokens(texts: pd.Series, marks: pd.Series) -> pd.Series:
+        none = np.zeros(0, np.int64)
+        return pd.Series([shingles_of(text) if one else none for text, one in zip(texts, chosen.of(marks))])
 
-    sampled = docs.select(docs["text"].alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
-    counts = sampled.select(F.explode(tokens("text")).alias("token")).groupBy("token").count()
+    sampled = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    counts = sampled.select(F.explode(tokens("text", "mark")).alias("token")).groupBy("token").count()
     top = counts.where("count > 3").orderBy(F.desc("count"), "token").limit(FREQUENT).collect()
     return {row.token: rank for rank, row in enumerate(reversed(top), 1)}
 
@@ -88,37 +105,37 @@ def prefix_of(text: str | None, ranks: dict[int, int]) -> tuple[int, np.ndarray]
     return n, own[np.argsort(rank, kind="stable")][: n - -(-over * n // under) + 1]
 
 
-def _postings(docs: DataFrame) -> DataFrame:
+def _postings(docs: DataFrame, chosen: Chosen) -> DataFrame:
     """(token, key, n, pos) of the elements of texts' prefixes that another text may have too."""
     spark = docs.sparkSession.sparkContext
-    known = spark.broadcast(_frequent(docs))
+    known = spark.broadcast(_frequent(docs, chosen))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = batch["text"].filter(pa.array(chosen.of(batch["mark"]))).to_pylist()
             prefixes = [prefix_of(text, known.value)[1] for text in texts]
             yield from dealt([np.concatenate(prefixes)] if prefixes else [], SHINGLE_BITS)
 
-    rows = docs.select(docs["text"].alias("text")).mapInArrow(seen, "block int, buckets binary")
+    rows = docs.mapInArrow(seen, "block int, buckets binary")
     twice = spark.broadcast(sieve_of(rows, 2, SHINGLE_BITS))
 
     @F.pandas_udf("n int, tokens array<long>, places array<int>")
-    def shared(texts: pd.Series) -> pd.DataFrame:
+    def shared(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
         sizes, tokens, places = [], [], []
-        for text in texts:
-            n, prefix = prefix_of(text, known.value)
+        for text, one in zip(texts, chosen.of(marks)):
+            n, prefix = prefix_of(text, known.value) if one else (0, np.zeros(0, np.int64))
             at = np.flatnonzero(may_hold(twice.value, prefix, SHINGLE_BITS))
             sizes.append(n)
             tokens.append(prefix[at])
             places.append(at.astype(np.int32))
         return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": tokens, "places": places})
 
-    rows = docs.select(key_of(docs["text"]).alias("key"), shared(docs["text"]).alias("of"))
+    rows = docs.select(key_of(docs["text"]).alias("key"), shared("text", "mark").alias("of"))
     rows = rows.select("key", "of.n", F.inline(F.arrays_zip("of.tokens", "of.places")))
     return rows.select(F.col("tokens").alias("token"), "key", "n", F.col("places").alias("pos")).distinct()
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, wanted: DataFrame, chosen: Chosen) -> DataFrame:
     """(key, packed) of each wanted text, compressed, one row however many copies there are."""
     marks = docs.sparkSession.sparkContext.broadcast(
         sieve_of_column(wanted.select(F.xxhash64("key").alias("mark")), "mark")
@@ -127,16 +144,16 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            keep = may_hold(marks.value, np.asarray(batch["mark"], dtype=np.int64))
-            chosen = pa.Table.from_batches([batch]).filter(pa.array(keep))
-            small = [pack(text) for text in chosen["text"].cast(pa.binary()).to_pylist()]
+            keep = may_hold(marks.value, np.asarray(batch["named"], dtype=np.int64)) & chosen.of(batch["mark"])
+            kept = pa.Table.from_batches([batch]).filter(pa.array(keep))
+            small = [pack(text) for text in kept["text"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [chosen["key"].cast(pa.binary()).combine_chunks(), pa.array(small, pa.binary())],
+                [kept["key"].cast(pa.binary()).combine_chunks(), pa.array(small, pa.binary())],
                 names=["key", "packed"],
             )
 
-    rows = docs.select(key_of(docs["text"]).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("key")).mapInArrow(packed, "key binary, packed binary")
+    rows = docs.select(key_of(docs["text"]).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"), "mark")
+    rows = rows.withColumn("named", F.xxhash64("key")).mapInArrow(packed, "key binary, packed binary")
     texts = rows.groupBy("key").agg(F.first("packed").alias("packed"))
     return texts.join(wanted.hint("merge"), "key", "left_semi")
 
@@ -184,14 +201,20 @@ def _may_reach(n: str, pos: str, other_n: str, other_pos: str) -> Column:
     return rest * (over + under) >= (a + b) * over
 
 
-def similar_texts(docs: DataFrame) -> DataFrame:
+def similar_texts(docs: DataFrame, chosen: Chosen | None = None, proposed: DataFrame | None = None) -> DataFrame:
     """(node, root) of each text, named by ``key_of``, that is similar to a different one.
 
+    With ``chosen``, only the rows whose ``mark`` it holds are searched.  ``proposed`` are landed
+    pairs (a, b) of texts that another method found: they are compared first, and texts that
+    those of them that are similar put into one component are not compared again.
+
     ``root`` is the smallest node of the component.  Texts are similar by the Jaccard
     similarity of their distinct five-word shingles, in lower case; a shorter text is
     one shingle, and texts without words are alike.  An empty table gives no rows.
     """
-    postings = land(_postings(docs), "postings")
+    chosen = chosen or Chosen()
+    docs = docs.select(docs["text"].alias("text"), docs["mark"] if chosen.sent else F.lit(0).alias("mark"))
+    postings = land(_postings(docs, chosen), "postings")
     lists = postings.groupBy("token").agg(F.min("key").alias("first"), F.max("key").alias("last"))
     lists = land(lists.where("first <> last").select("token", "first"), "lists")
     shared = land(postings.join(lists.hint("merge"), "token"), "shared")
@@ -206,10 +229,17 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     stars = land(stars.select("a", F.col("key").alias("b")).distinct(), "stars")
 
     # Any text of a shared list may be compared in the second round.
-    texts = land(_texts(docs, land(shared.select("key").distinct(), "wanted")), "texts")
-
+    texts = land(_texts(docs, land(shared.select("key").distinct(), "wanted"), chosen), "texts")
+
+    links = None
+    if proposed is not None:
+        links = land(_verified(proposed, texts), "proposed_links")
+        apart = _still_apart(stars, components(links))
+        drop_landed(stars)
+        stars = apart
     nearest = land(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-    links = land(_verified(nearest, texts), "nearest_links")
+    near = land(_verified(nearest, texts), "nearest_links")
+    links = near if links is None else links.unionByName(near)
     links = links.unionByName(land(_verified(_still_apart(stars, components(links)), texts), "star_links"))
     roots = land(components(links), "roots")
     placed = shared.join(roots.hint("merge"), shared["key"] == roots["node"], "left").select(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import components, land
-from flowlens.llm.overlap import key_of, similar_texts
+from flowlens.llm.overlap import Chosen, key_of, similar_texts
 from flowlens.llm.sieve import may_hold, sieve_of_column
 
 SHINGLE = 4
@@ -225,12 +225,37 @@ def _in_sieve(docs: DataFrame, marks: DataFrame):
     return held
 
 
+def near_texts(docs: DataFrame, chosen: Chosen | None = None) -> DataFrame:
+    """Pairs (a, b) of texts, named by ``key_of``, whose fingerprints are in one component.
+
+    The texts are those of ``docs`` (text, and mark with ``chosen``) that are chosen.  Each is
+    linked to the smallest of its component, so there are fewer links than texts.
+    """
+    chosen = chosen or Chosen()
+
+    @F.pandas_udf(T.LongType())
+    def chosen_fingerprint(texts: pd.Series, marks: pd.Series) -> pd.Series:
+        found = [fingerprint_of(text) if one else None for text, one in zip(texts, chosen.of(marks))]
+        return pd.Series(found, dtype="Int64")
+
+    mark = docs["mark"] if chosen.sent else F.lit(0)
+    rows = docs.select(key_of(docs["text"]).alias("key"), chosen_fingerprint(docs["text"], mark).alias("fp"))
+    rows = land(rows.where("fp is not null"), "text_fingerprints")
+    found = near_components(land(rows.select("fp").distinct(), "distinct"))
+    placed = rows.join(found, rows["fp"] == found["node"], "left").select("key", F.coalesce("root", "fp").alias("of"))
+    placed = land(placed, "placed_texts")
+    heads = placed.groupBy("of").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a <> last")
+    links = placed.join(heads, "of").where("key <> a").select("a", F.col("key").alias("b")).distinct()
+    return land(links, "near_texts")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id.
 
-    Components link texts with a five-word shingle similarity of 0.8 or more
-    (``overlap.similar_texts``); fingerprints take no part, as the four bits that they may
-    differ in stand for a similarity far above 0.8.  One row stays of each component, also
+    Components link texts with a five-word shingle similarity of 0.8 or more.  Those whose
+    fingerprints differ in at most ``MOST`` bits are found by the grids (``near_texts``) and
+    compared; as four bits stand for a similarity far above 0.8, an exact join
+    (``overlap.similar_texts``) finds the links of the texts that are then still apart.  One row stays of each component, also
     where it occurs several times, where its doc_id has several texts in the component or
     one in another component, and where no row has a doc_id.  Null texts are alike.  An
     empty table stays empty; all columns stay as they are, whatever their names.
@@ -246,8 +271,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = docs.select(row, key_of(docs["text"]).alias("key"), docs["doc_id"].alias("id"))
     first = groups.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("one"))
     first = first.select("key", "one.id").select(mark.alias("mark"))
-    searched = rows.where(_in_sieve(docs, first)(mark)).select(F.col("row.text").alias("text"))
-    found = land(similar_texts(searched), "similar")
+    chosen = Chosen(docs.sparkSession.sparkContext.broadcast(sieve_of_column(first, "mark")))
+    searched = rows.select(F.col("row.text").alias("text"), mark.alias("mark"))
+    found = land(similar_texts(searched, chosen, near_texts(searched, chosen)), "similar")
     # The smallest doc_id of a component, with the smallest of its texts; null comes last.
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
     best = groups.join(found.hint("merge"), groups["key"] == found["node"], "left")

@@ -93,3 +93,22 @@ def test_keep_one_takes_any_column_names(spark):
     assert sorted((r.doc_id, r.text or "", r.stays) for r in kept.collect()) == [
         (1, "a b c d e f", 5), (3, "", 5), (3, "x y z u v w", 5),
     ]
+
+
+def test_keep_one_compares_the_texts_that_fingerprints_link(spark, monkeypatch):
+    own = " ".join(f"w{i}" for i in range(2000))
+    many = " ".join(["again"] * 400)
+    fooled = [f"{many} " + " ".join(f"{name}{i}" for i in range(30)) for name in ("a", "b")]
+    texts = [(1, own), (2, f"{own} end"), (3, f"{own} end"), (4, fooled[0]), (5, fooled[1]), (6, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    proposed, real = [], simhash.near_texts
+
+    def near_texts(*args):
+        found = real(*args)
+        proposed.extend(found.collect())
+        return found
+
+    monkeypatch.setattr(simhash, "near_texts", near_texts)
+    # Alike fingerprints are no proof: the texts are compared.
+    assert sorted(row.doc_id for row in simhash.keep_one(docs).collect()) == [1, 4, 5, 6]
+    assert len(proposed) == 2
