@@ -95,10 +95,15 @@ class SampleSource:
             F.min("l_suppkey").alias("supplier"),
             F.max("l_shipdate").alias("last_shipped"),
             F.sum("l_quantity").alias("quantity"),
-            F.collect_set("l_returnflag").alias("flags"),
-            F.collect_set("month_number").alias("months"),
-            F.collect_set("component_id").alias("components"),
-            F.collect_set(F.year("l_shipdate")).alias("years"),
+            # One set of all four, as the state of each set costs far more than its values.
+            F.collect_set(
+                F.struct(
+                    F.col("l_returnflag").alias("flag"),
+                    F.col("month_number").alias("month"),
+                    F.col("component_id").alias("component"),
+                    F.year("l_shipdate").alias("year"),
+                )
+            ).alias("seen"),
         )
         customers = self.read("customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("project")
@@ -109,9 +114,14 @@ class SampleSource:
         priority_id = F.substring("o_orderpriority", 1, 1)
         rank = F.col("o_orderkey") % 5
 
-        def in_project(numbers: str, factor: int) -> Column:
+        def seen(part: str, kind: str) -> Column:
+            """Distinct values in order, without null; all compiled, unlike ``array_sort``."""
+            nothing = F.array(F.lit(None).cast(kind))
+            return F.sort_array(F.array_except(F.col(f"seen.{part}"), nothing))
+
+        def in_project(part: str, factor: int) -> Column:
             base = F.col("project").cast("bigint") * factor
-            return F.array_sort(F.transform(numbers, lambda number: base + number))
+            return F.transform(seen(part, "int"), lambda number: base + number)
 
         return (
             self.read("orders")
@@ -138,12 +148,12 @@ class SampleSource:
                 _text("C", "o_custkey").alias("creator"),
                 _text("S", "supplier").alias("assignee"),
                 F.date_add(F.col("o_orderdate").cast("date"), 45).alias("due_date"),
-                F.array_sort("flags").alias("labels"),
+                seen("flag", "string").alias("labels"),
                 F.col("lines").cast("double").alias("story_points"),
                 (F.col("quantity") * 600).cast("bigint").alias("time_spent_seconds"),
-                in_project("months", 1000).alias("sprint_ids"),
-                F.array_sort("components").alias("component_ids"),
-                in_project("years", 10000).alias("fix_version_ids"),
+                in_project("month", 1000).alias("sprint_ids"),
+                seen("component", "bigint").alias("component_ids"),
+                in_project("year", 10000).alias("fix_version_ids"),
             )
         )
 

@@ -27,6 +27,10 @@ from flowlens.sources.sinks import FolderStore
 Query = Callable[[SparkSession, str], DataFrame]
 LayerQuery = Callable[[MetricLayer], DataFrame]
 
+# Raw tables are larger than the sample they are derived from: a line item alone is four
+# changes, a worklog, a link and a member of sprints, components and versions.
+DERIVED = 8
+
 _workspaces: dict[tuple[str, str], MetricLayer] = {}
 
 
@@ -44,7 +48,7 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
-        configure(spark, folder_bytes(spark, folder))
+        configure(spark, DERIVED * folder_bytes(spark, folder))
         root = f"{shared_folder(spark)}/flowlens-{uuid.uuid4().hex}"
         atexit.register(_discard, spark, root)
         source = SampleSource(spark, folder)

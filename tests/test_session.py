@@ -30,6 +30,14 @@ def test_only_large_inputs_raise_the_number(spark):
         spark.conf.unset(INITIAL)
 
 
+def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
+    configure(spark)
+    wide = spark.range(0, 800_000, 1, 8).selectExpr("id", "concat(uuid(), uuid(), uuid()) as text")
+    read = wide.repartition("id").selectExpr("spark_partition_id() as part", "length(text) as n")
+    sizes = read.groupBy("part").sum("n").collect()
+    assert sum(row[1] for row in sizes) == 800_000 * 108 and max(row[1] for row in sizes) < 40_000_000
+
+
 def test_folder_size(spark, tmp_path):
     (tmp_path / "inner").mkdir()
     (tmp_path / "inner" / "file").write_bytes(b"x" * 1000)
