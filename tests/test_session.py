@@ -30,12 +30,14 @@ def test_only_large_inputs_raise_the_number(spark):
         spark.conf.unset(INITIAL)
 
 
-def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
+def test_a_task_reads_a_bounded_part_of_a_file(spark, tmp_path):
     configure(spark)
-    wide = spark.range(0, 800_000, 1, 8).selectExpr("id", "concat(uuid(), uuid(), uuid()) as text")
-    read = wide.repartition("id").selectExpr("spark_partition_id() as part", "length(text) as n")
-    sizes = read.groupBy("part").sum("n").collect()
-    assert sum(row[1] for row in sizes) == 800_000 * 108 and max(row[1] for row in sizes) < 40_000_000
+    rows = spark.range(0, 10_000_000, 1, 1).selectExpr("rand(1) as value")
+    rows.write.option("parquet.block.size", str(4 * 1024**2)).parquet(str(tmp_path / "large"))
+    size = folder_bytes(spark, str(tmp_path / "large"))
+    assert size > 72 * 1024**2
+    parts = spark.read.parquet(str(tmp_path / "large")).rdd.getNumPartitions()
+    assert parts >= size / (16 * 1024**2)
 
 
 def test_folder_size(spark, tmp_path):
