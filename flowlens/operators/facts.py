@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +125,20 @@ def _lookup(frame: DataFrame, key: str, **columns: str) -> DataFrame:
     return frame.select(F.col(key).alias(next(iter(columns))), *renamed[1:])
 
 
+def _with_names(rows: DataFrame, issues: DataFrame, lookups: Sequence[DataFrame]) -> DataFrame:
+    """Attach the names of lookups to rows by issue; ``issues`` has the issues and their keys."""
+    keys = [lookup.columns[0] for lookup in lookups]
+    # An id may stand in several rows that differ in their keys: each kind is looked up once.
+    names = issues.select("issue_id", *keys).repartition("issue_id").distinct()
+    for lookup in lookups:
+        names = names.join(lookup, lookup.columns[0], "left")
+    found = [name for name in names.columns if name not in ("issue_id", *keys)]
+    names = names.select(F.col("issue_id").alias("__issue"), F.struct(*keys).alias("__of"), *found)
+    # The keys are compared inside an array, so that only the issue decides the partitioning.
+    same = (F.col("issue_id") == F.col("__issue")) & F.array_contains(F.array("__of"), F.struct(*keys))
+    return rows.join(names, same, "left").drop("__issue", "__of")
+
+
 def fct_issue(
     issues: DataFrame,
     projects: DataFrame,
@@ -139,14 +155,18 @@ def fct_issue(
 ) -> DataFrame:
     """One wide row per issue with its lookups, epic, current sprint and times.
 
-    Names are looked up on narrow rows, the issue and its keys, and come back by issue.  So
-    the wide rows with their summaries and labels are shuffled once, by issue, however
-    large the lookups are; all that is keyed by issue shares that partitioning.
+    Names are looked up on narrow rows, the issue and its keys, which are dealt by issue
+    before.  So the wide rows with their summaries and labels are shuffled once, by issue,
+    however large the lookups are, and all that is keyed by issue shares that partitioning:
+    names of lookups that Spark broadcasts are never shuffled.  Users come first, as they may
+    be too many for that: then rows travel to them before other names make these wide.
     """
     sprint_names = _lookup(
         dim_sprint, "sprint_id", current_sprint_id="sprint_id", current_sprint_name="sprint_name"
     )
     lookups = (
+        _lookup(users, "account_id", assignee_id="account_id", assignee_name="display_name"),
+        _lookup(users, "account_id", reporter_id="account_id", reporter_name="display_name"),
         _lookup(projects, "id", project_id="id", project_key="project_key", project_name="name"),
         _lookup(issue_types, "id", issue_type_id="id", issue_type="name"),
         _lookup(
@@ -159,27 +179,14 @@ def fct_issue(
         ),
         _lookup(priorities, "id", priority_id="id", priority="name"),
         _lookup(resolutions, "id", resolution_id="id", resolution="name"),
-        _lookup(users, "account_id", assignee_id="account_id", assignee_name="display_name"),
-        _lookup(users, "account_id", reporter_id="account_id", reporter_name="display_name"),
     )
     issues = issues.withColumnRenamed("id", "issue_id")
-    keys = [lookup.columns[0] for lookup in lookups]
-    # An id may stand in several rows that differ in their keys: each kind is looked up once.
-    names = issues.select("issue_id", *keys).distinct()
-    for lookup in lookups:
-        names = names.join(lookup, lookup.columns[0], "left")
-    found = [name for name in names.columns if name not in ("issue_id", *keys)]
-    names = names.select("issue_id", F.struct(*keys).alias("__of"), *found)
     rows = (
         issues.join(epics, "issue_id", "left")
         .join(sprint_of_issue.join(sprint_names, "current_sprint_id", "left"), "issue_id", "left")
         .join(started.withColumnRenamed("started_at", "first_in_progress_at"), "issue_id", "left")
-        .withColumn("__keys", F.struct(*keys))
     )
-    # The keys are compared inside an array, so that only the issue decides the partitioning.
-    same = (rows["issue_id"] == names["issue_id"]) & F.array_contains(F.array(names["__of"]), rows["__keys"])
-    rows = rows.join(names, same, "left").drop(names["issue_id"])
-    return issue_times(rows, config).select(*ISSUE_FACT_LAYOUT)
+    return issue_times(_with_names(rows, issues, lookups), config).select(*ISSUE_FACT_LAYOUT)
 
 
 def status_changes(history: DataFrame, config: LayerConfig, largest: int | None = None) -> DataFrame:

@@ -39,6 +39,12 @@ def test_wide_rows_are_shuffled_once_and_by_issue(spark, without_broadcasts, col
     assert len(found) == 1 and re.match(r"hashpartitioning\(issue_id#", found[0]), found
 
 
+@pytest.mark.parametrize("column", ["project_name", "status_name", "assignee_name"])
+def test_names_of_small_lookups_are_not_shuffled(spark, column):
+    fact = workspace(spark, SMALL).pipeline.frame("gold.fct_issue")
+    assert not exchanges_with(fact, column)
+
+
 def test_repeated_ids_keep_their_own_names(spark):
     """Two rows of one id with different keys: each gets its names, and none is multiplied."""
     layer = workspace(spark, SMALL)
