@@ -14,7 +14,8 @@ they let through is joined exactly.
 Only components are wanted.  Each posting list has its smallest text as its head.  A text
 is first held against the smallest of its lists' heads, which joins a large group of near
 copies with one comparison a text; then against the other heads that are still in another
-component; then pairs of a list are compared whose texts are still in different ones.
+component; then against a centre of each list that is another for every list; then pairs of a
+list are compared whose texts are still in different ones.
 Pairs that another method proposes are compared first, and leave fewer texts apart.
 """
 
@@ -67,6 +68,17 @@ def key_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def in_sieve(rows: DataFrame, marks: DataFrame):
+    """A predicate over 64-bit hashes that is true for all in ``marks``, and for few others."""
+    sent = rows.sparkSession.sparkContext.broadcast(sieve_of_column(marks, "mark"))
+
+    @F.pandas_udf(T.BooleanType())
+    def held(hashes: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(sent.value, hashes.to_numpy(np.int64)))
+
+    return held
+
+
 class Chosen:
     """Which rows of a table are searched: all, or those whose ``mark`` a sieve may hold.
 
@@ -176,7 +188,13 @@ def _similar(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
+    """The pairs (a, b) whose whole sets are similar; ``pairs`` are landed.
+
+    Only texts that a sieve of the pairs' ends may hold are shuffled, whatever all texts are.
+    """
+
+    held = in_sieve(texts, pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("mark")))
+    texts = texts.where(held(F.xxhash64("key")))
     left = texts.select(F.col("key").alias("a"), F.col("packed").alias("own"))
     right = texts.select(F.col("key").alias("b"), F.col("packed").alias("other"))
     joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
@@ -201,6 +219,36 @@ def _may_reach(n: str, pos: str, other_n: str, other_pos: str) -> Column:
     return rest * (over + under) >= (a + b) * over
 
 
+def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The postings, with their texts' roots, of lists whose texts are in several components; landed."""
+    roots = land(roots, "roots")
+    placed = shared.join(roots.hint("merge"), shared["key"] == roots["node"], "left").select(
+        "token", "key", "n", "pos", F.coalesce("root", "key").alias("root")
+    )
+    placed = land(placed, "placed")
+    mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = mixed.where("low <> high").select("token")
+    left = land(placed.join(mixed.hint("merge"), "token", "left_semi"), "mixed")
+    drop_landed(placed)
+    return left
+
+
+def _centred(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each list's centre and its texts in other components.
+
+    The centre is the text whose hash with the list's element is smallest.  So each list has
+    another one, where heads of lists that share many texts are mostly one text, far from some.
+    """
+    chance = F.struct(F.xxhash64("token", "key").alias("chance"), "key", "n", "pos", "root")
+    centres = mixed.groupBy("token").agg(F.min(chance).alias("centre")).select(
+        "token", *[F.col(f"centre.{name}").alias(f"other_{name}") for name in ("key", "n", "pos", "root")]
+    )
+    pairs = mixed.join(centres.hint("merge"), "token").where(
+        (F.col("root") != F.col("other_root")) & _may_reach("n", "pos", "other_n", "other_pos")
+    )
+    return pairs.select(F.least("key", "other_key").alias("a"), F.greatest("key", "other_key").alias("b")).distinct()
+
+
 def similar_texts(docs: DataFrame, chosen: Chosen | None = None, proposed: DataFrame | None = None) -> DataFrame:
     """(node, root) of each text, named by ``key_of``, that is similar to a different one.
 
@@ -241,14 +289,11 @@ def similar_texts(docs: DataFrame, chosen: Chosen | None = None, proposed: DataF
     near = land(_verified(nearest, texts), "nearest_links")
     links = near if links is None else links.unionByName(near)
     links = links.unionByName(land(_verified(_still_apart(stars, components(links)), texts), "star_links"))
-    roots = land(components(links), "roots")
-    placed = shared.join(roots.hint("merge"), shared["key"] == roots["node"], "left").select(
-        "token", "key", "n", "pos", F.coalesce("root", "key").alias("root")
-    )
-    placed = land(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.where("low <> high").select("token")
-    left = land(placed.join(mixed.hint("merge"), "token", "left_semi"), "mixed")
+    left = _mixed(shared, components(links))
+    met = land(_verified(land(_centred(left), "centred"), texts), "centre_links")
+    drop_landed(left)
+    links = links.unionByName(met)
+    left = _mixed(shared, components(links))
     right = left.select(
         "token", *[F.col(name).alias(f"other_{name}") for name in ("key", "n", "pos", "root")]
     )
@@ -259,5 +304,5 @@ def similar_texts(docs: DataFrame, chosen: Chosen | None = None, proposed: DataF
     )
     pairs = land(pairs.select(F.col("key").alias("a"), F.col("other_key").alias("b")).distinct(), "pairs")
     found = land(_verified(pairs, texts), "pair_links")
-    drop_landed(texts, shared, placed, left, stars)
+    drop_landed(texts, shared, left, stars)
     return components(links.unionByName(found))

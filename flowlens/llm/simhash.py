@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import components, land
-from flowlens.llm.overlap import Chosen, key_of, similar_texts
-from flowlens.llm.sieve import may_hold, sieve_of_column
+from flowlens.llm.overlap import Chosen, in_sieve, key_of, similar_texts
+from flowlens.llm.sieve import sieve_of_column
 
 SHINGLE = 4
 SEED = 42
@@ -214,17 +214,6 @@ def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _in_sieve(docs: DataFrame, marks: DataFrame):
-    """A predicate over 64-bit hashes that is true for all in ``marks``, and for few others."""
-    sent = docs.sparkSession.sparkContext.broadcast(sieve_of_column(marks, "mark"))
-
-    @F.pandas_udf(T.BooleanType())
-    def held(hashes: pd.Series) -> pd.Series:
-        return pd.Series(may_hold(sent.value, hashes.to_numpy(np.int64)))
-
-    return held
-
-
 def near_texts(docs: DataFrame, chosen: Chosen | None = None) -> DataFrame:
     """Pairs (a, b) of texts, named by ``key_of``, whose fingerprints are in one component.
 
@@ -283,7 +272,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stays = groups.join(best.hint("merge"), same, "left").select("key", "id", "rows", F.col("kept").isNotNull().alias("stays"))
     doubtful = land(stays.where("not stays or rows > 1").select("key", "id", "stays"), "doubtful")
 
-    rows = rows.withColumn("doubt", _in_sieve(docs, doubtful.select(mark.alias("mark")))(mark))
+    rows = rows.withColumn("doubt", in_sieve(docs, doubtful.select(mark.alias("mark")))(mark))
     certain = rows.where(~F.col("doubt")).select("row.*")
     left = doubtful.select(F.col("key").alias("at"), F.col("id").alias("at_id"), "stays")
     doubted = rows.where("doubt").join(

@@ -112,3 +112,29 @@ def test_keep_one_compares_the_texts_that_fingerprints_link(spark, monkeypatch):
     # Alike fingerprints are no proof: the texts are compared.
     assert sorted(row.doc_id for row in simhash.keep_one(docs).collect()) == [1, 4, 5, 6]
     assert len(proposed) == 2
+
+
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies with one and with two other words: the latter are similar to the former only."""
+    from flowlens.llm import overlap
+
+    base = [f"w{i}" for i in range(150)]
+    # Strange words stand far apart, and each place is used in turn.
+    places = [(7 * i) % 140 + 5 for i in range(240)]
+    texts = [[*base] for _ in places]
+    for i, place in enumerate(places):
+        texts[i][place] = f"x{i}"
+        if i % 6:
+            texts[i][(place + 70) % 140 + 5] = f"y{i}"
+    frame = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(texts)], "doc_id long, text string")
+    compared = []
+    verified = overlap._verified
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(overlap, "_verified", counted)
+    found = overlap.similar_texts(frame).collect()
+    assert len(found) == len(texts) and len({row.root for row in found}) == 1
+    assert sum(compared) < 50 * len(texts), compared
