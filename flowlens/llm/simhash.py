@@ -181,12 +181,17 @@ def meeting_roots(rooted: DataFrame, most: int = MOST, blocks: int = BLOCKS) ->
 def near_components(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:
     """(node, root) of every fingerprint that is near to another; ``root`` is the smallest reached."""
     stars = land(star_links(distinct, most, blocks), "stars")
-    roots = land(components(stars), "star_roots")
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+    starred = land(components(stars), "star_roots")
+    rooted = distinct.join(starred, F.col("fp") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
+    # The stars' roots stand for their fingerprints, so that the second search has only those that meet.
     meetings = land(meeting_roots(land(rooted, "rooted"), most, blocks), "meetings")
-    return components(stars.unionByName(meetings))
+    joined = land(components(meetings), "joined_roots")
+    over = joined.select(F.col("node").alias("from"), F.col("root").alias("to"))
+    moved = starred.join(over, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root"))
+    alone = joined.join(starred.select(F.col("node").alias("starred")), F.col("node") == F.col("starred"), "left_anti")
+    return moved.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> DataFrame:

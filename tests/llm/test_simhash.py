@@ -138,3 +138,38 @@ def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch)
     found = overlap.similar_texts(frame).collect()
     assert len(found) == len(texts) and len({row.root for row in found}) == 1
     assert sum(compared) < 50 * len(texts), compared
+
+
+def test_rounds_of_components_write_files_by_their_links_not_by_the_partitions(spark, monkeypatch):
+    """A round over few links has one file a step, though shuffles have 8 partitions that are not merged."""
+    files = {}
+
+    def landed(frame, name, land=common.land):
+        back = land(frame, name)
+        files.setdefault(name, []).append(len(back.inputFiles()))
+        return back
+
+    monkeypatch.setattr(common, "land", landed)
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        links = spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long")
+        roots = {row.node: row.root for row in common.components(links).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert roots == {i: 0 for i in range(31)}
+    assert set(files["low"] + files["large"] + files["small"]) == {1}
+
+
+def test_components_that_meet_only_across_stars_are_joined(spark):
+    """Two stars whose smallest fingerprints are far apart, and a lone pair, against brute force."""
+    values = [0, 0b1111, 0b11111111, 0xFFF, 0xFFFF, 1 << 40, (1 << 40) | 1, -1]
+    values += [0xFFFF | (0xF << 20), 0xFFFF | (0xFF << 20), -2]
+    want = brute(values)
+    rows = simhash.near_components(frame(spark, values)).collect()
+    assert len({row.node for row in rows}) == len(rows)
+    found = {row.node: row.root for row in rows}
+    assert {value: found.get(value, value) for value in values} == want
