@@ -20,10 +20,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,19 +36,19 @@ CHUNK = 8
 STRIDE = 512  # bits between two counts of a directory
 SEGMENT = 1 << 20  # ids after which a segment is closed
 MAGIC = b"DAC1"
-# Pieces and parts remembered by a worker; beyond, it starts anew.
+# Pieces cut and looked up together, but for a longer text.
 _KNOWN_PIECES = 300_000
+# Parts remembered by a worker; beyond, it starts anew.
 _KNOWN_PARTS = 600_000
 # Blanks other than the space and the line feed.
-_OTHER_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# Marks a piece that stands as it is; a piece without it has a space before it.
-_AS_IS = "\0"
-# What a text holds where its words are not all after one space, or would look marked.
-_RUNS = ("  ", " \n", "\n ", " " + _AS_IS)
+_OTHER_BLANKS = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# What a text holds where its words are not all after one space.
+_ODD = f"^[ \n]|[ \n]$|  | \n|\n |{_OTHER_BLANKS}"
 _CHUNKS = re.compile(r"\s*\S+|\s+")
 # A word of letters, maybe with punctuation behind it: the pre-tokenizer always parts the two.
-_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([#*$%&|!,.;:?]*)")
-_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_STEM = f"^(?P<stem>{_LETTERS})(?P<marks>[#*$%&|!,.;:?]*)$"
+_WORD = re.compile(f" {_LETTERS}")
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -165,8 +166,9 @@ class Encoder:
     The pre-tokenizer never lets a token run from a character that is not blank
     into a blank.  So a text may be cut before every blank run, and the ids of the
     pieces laid end to end.  A piece is one part, or letters and the punctuation
-    behind them as two.  Pieces and parts repeat, so they are numbered and the ids
-    of a part are remembered, for as many of them as memory allows.
+    behind them as two.  Arrow cuts the texts and finds their distinct pieces, stems
+    and marks; distinct parts are numbered, and the ids of a part are remembered, for
+    as many of them as memory allows.
     """
 
     def __init__(self, path: str):
@@ -180,11 +182,6 @@ class Encoder:
     def _forget_parts(self) -> None:
         self.part = _Numbered()
         self.flat, self.begins, self.sizes = _Column(np.uint32), _Column(np.int64), _Column(np.int64)
-        self._forget_pieces()
-
-    def _forget_pieces(self) -> None:
-        self.piece = _Numbered()
-        self.first, self.second = _Column(np.int64), _Column(np.int64)
 
     def _ids_of(self, parts: list[str]) -> list[list[int]]:
         """Ids of parts.  A space and letters are one word to the pre-tokenizer, so they go to the model as they are."""
@@ -204,58 +201,83 @@ class Encoder:
             found[i] = encoding.ids
         return found
 
-    def _learn(self, pieces: list[str]) -> None:
-        words, marks = [], []
-        for piece in pieces:
-            if piece[:1] == _AS_IS:
-                words.append(piece[1:])
-                marks.append("")
-            elif cut := _STEM.fullmatch(piece):
-                words.append(" " + cut[1])
-                marks.append(cut[2])
-            else:
-                words.append(" " + piece)
-                marks.append("")
-        number = self.part.__getitem__
-        self.first.extend(np.fromiter(map(number, words), np.int64, len(words)))
-        self.second.extend(np.fromiter(map(number, marks), np.int64, len(marks)))
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.part.__getitem__, parts), np.int64, len(parts))
+
+    def _learn(self) -> None:
+        """Ids of the parts numbered since the last call."""
         found = self._ids_of(self.part.taken())
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.begins.extend(self.flat.used + np.cumsum(sizes) - sizes)
         self.sizes.extend(sizes)
         self.flat.extend(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut before its blank runs; most pieces are words after one space."""
-        if not text:
-            return []
-        plain = not (text[0].isspace() or text[-1].isspace() or any(run in text for run in _RUNS))
-        if plain and not _OTHER_BLANKS.search(text):
-            words = text.split(" ")
-            words[0] = _AS_IS + words[0]
-            return words
-        return [_AS_IS + chunk for chunk in _CHUNKS.findall(text)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(text) for text in texts]
-        if len(self.part) > _KNOWN_PARTS:
-            self._forget_parts()
-        elif len(self.piece) > _KNOWN_PIECES:
-            self._forget_pieces()
+    def _numbered(self, distinct: pa.Array, before: str = "") -> np.ndarray:
+        """Part numbers of a column's values, each distinct one looked up once."""
+        coded = distinct.dictionary_encode()
+        return self._numbers([before + text for text in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+
+    def _plain_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Two parts of each piece of texts whose words are all after one space, and the pieces of each text."""
+        cut = pc.split_pattern(texts, " ")
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary
+        found = pc.extract_regex(pieces, _STEM)
+        stemmed = found.is_valid().to_numpy(zero_copy_only=False)
+        stems = found.filter(found.is_valid())
+        of = np.full((len(pieces), 2), self.part[""])
+        of[stemmed, 0] = self._numbered(stems.field(0), " ")
+        of[stemmed, 1] = self._numbered(stems.field(1))
+        of[~stemmed, 0] = self._numbers([" " + piece for piece in pieces.filter(found.is_null()).to_pylist()])
+        parts = of[coded.indices.to_numpy()]
+        lengths = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        # No space is before the first piece of a text, so that one stands as it is.
+        heads = np.cumsum(lengths) - lengths
+        parts[heads, 0] = self._numbers(cut.flatten().take(pa.array(heads)).to_pylist())
+        parts[heads, 1] = self.part[""]
+        return parts, lengths
+
+    def _odd_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any texts; each piece stands as it is."""
+        cut = [_CHUNKS.findall(text) for text in texts]
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
-        total = int(lengths.sum())
-        places = np.fromiter(map(self.piece.__getitem__, chain.from_iterable(cut)), np.int64, total)
-        if self.piece.new:
-            self._learn(self.piece.taken())
-        parts = np.empty(2 * total, np.int64)
-        parts[::2] = self.first.held[places]
-        parts[1::2] = self.second.held[places]
+        parts = np.full((int(lengths.sum()), 2), self.part[""])
+        parts[:, 0] = self._numbers(list(chain.from_iterable(cut)))
+        return parts, lengths
+
+    def _laid(self, parts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text: those of its parts end to end."""
+        parts = parts.reshape(-1)
         counts = self.sizes.held[parts]
         ends = np.cumsum(counts)
         ids = self.flat.held[np.repeat(self.begins.held[parts] - ends + counts, counts) + np.arange(counts.sum())]
         stops = np.concatenate([[0], ends])[2 * np.cumsum(lengths)]
         return np.split(ids, stops[:-1])
 
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """Ids of each text, in runs of texts that bound the pieces held at once."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        ends = np.cumsum(pc.count_substring(texts, " ").to_numpy().astype(np.int64) + 1)
+        cuts = np.flatnonzero(np.diff(ends // _KNOWN_PIECES, prepend=0)).tolist()
+        found: list[np.ndarray] = []
+        for begin, end in pairwise([0, *cuts, len(texts)]):
+            found += self._encode_run(texts.slice(begin, end - begin))
+        return found
+
+    def _encode_run(self, texts: pa.Array) -> list[np.ndarray]:
+        if len(self.part) > _KNOWN_PARTS:
+            self._forget_parts()
+        odd = pc.match_substring_regex(texts, _ODD)
+        plain, others = self._plain_parts(texts.filter(pc.invert(odd))), self._odd_parts(texts.filter(odd).to_pylist())
+        self._learn()
+        found: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        is_odd = odd.to_numpy(zero_copy_only=False)
+        for kind, (parts, lengths) in ((False, plain), (True, others)):
+            if len(lengths):
+                for place, ids in zip(np.flatnonzero(is_odd == kind).tolist(), self._laid(parts, lengths)):
+                    found[place] = ids
+        return found
+
 
 def _is_plain(library) -> bool:
     """Whether the tokenizer is byte-level BPE that only parts words, with nothing before or between."""
@@ -297,7 +319,7 @@ _READ = pa.schema(
         ("ids_crc32", pa.int64()),
     ]
 )
-TEXTS = 256  # documents encoded together
+TEXTS = 1000  # documents handed to the encoder together
 
 
 def write_segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID, segment: int = SEGMENT) -> DataFrame:
@@ -330,7 +352,7 @@ def write_segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID, segmen
         for batch in batches:
             for begin in range(0, batch.num_rows, TEXTS):
                 some = batch.slice(begin, TEXTS)
-                for doc_id, ids in zip(some[0].to_pylist(), encoder.encode(some[1].to_pylist())):
+                for doc_id, ids in zip(some[0].to_pylist(), encoder.encode(some[1])):
                     doc_ids.append(doc_id)
                     found.append(np.append(ids, np.uint32(end_id)))
                     total += len(found[-1])

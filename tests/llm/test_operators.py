@@ -450,3 +450,18 @@ def test_encoder_matches_whole_texts_with_nul():
     encoder, library = tokens.Encoder(tokenizer()), Tokenizer.from_file(tokenizer())
     expected = [found.ids for found in library.encode_batch(texts, add_special_tokens=False)]
     assert [ids.tolist() for ids in encoder.encode(texts)] == expected and expected[0] == [64, 220, 188, 65]
+
+
+def test_encoder_looks_up_each_distinct_part_once_however_often_it_stands(monkeypatch):
+    from tokenizers import Tokenizer
+
+    asked = []
+    numbers = tokens.Encoder._numbers
+    monkeypatch.setattr(tokens.Encoder, "_numbers", lambda self, parts: (asked.append(len(parts)), numbers(self, parts))[1])
+    words = [f"{word}{mark}" for word in ("one", "two", "thrée", "4th", "-") for mark in ("", ",", ".", "!?")]
+    texts = [" ".join(words * 20)] * 50
+    found = tokens.Encoder(tokenizer()).encode(texts)
+    expected = Tokenizer.from_file(tokenizer()).encode(texts[0], add_special_tokens=False).ids
+    assert all(ids.tolist() == expected for ids in found)
+    # The distinct pieces, and one head a text, of 20,000 pieces.
+    assert sum(asked) <= len(words) + len(texts)
