@@ -7,9 +7,9 @@ hash, with shingles that a sample shows to be frequent last: the sample decides
 many candidates there are, never which pairs are found.  The sizes and the places of
 a shared element bound the overlap further; then the whole sets are compared.
 
-Most elements stand in one text only.  Fixed bitmaps (``sieve``) tell so without their
-being shuffled: one of the elements seen twice, one of the texts that share any.  What
-they let through is joined exactly.
+Most elements stand in one text only.  Bitmaps of a bounded size (``sieve``) tell so without
+their rows being shuffled: one of the elements seen twice, one of the texts that share any.
+What they let through is joined exactly.
 
 Only components are wanted.  Each posting list has its smallest text as its head.  A text
 is first held against the smallest of its lists' heads, which joins a large group of near
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import components, drop_landed, land
-from flowlens.llm.sieve import dealt, may_hold, sieve_of, sieve_of_column
+from flowlens.llm.sieve import dealt_whole, may_hold, sieve_of_column, sieve_of_repeated
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # Jaccard similarity of a link, as a fraction
@@ -41,8 +41,6 @@ SEED = 42
 # One text in so many is looked at for frequent shingles; so many of these are put last.
 SAMPLED = 16
 FREQUENT = 50_000
-# Size of the sieve of shingles, of which there are many more than texts: 16 MB.
-SHINGLE_BITS = 27
 _NO_WORDS = np.zeros(1, np.int64)
 
 
@@ -123,20 +121,18 @@ def _postings(docs: DataFrame, chosen: Chosen) -> DataFrame:
     known = spark.broadcast(_frequent(docs, chosen))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch["text"].filter(pa.array(chosen.of(batch["mark"]))).to_pylist()
-            prefixes = [prefix_of(text, known.value)[1] for text in texts]
-            yield from dealt([np.concatenate(prefixes)] if prefixes else [], SHINGLE_BITS)
+        texts = (batch["text"].filter(pa.array(chosen.of(batch["mark"]))).to_pylist() for batch in batches)
+        yield from dealt_whole(prefix_of(text, known.value)[1] for some in texts for text in some)
 
     rows = docs.mapInArrow(seen, "block int, buckets binary")
-    twice = spark.broadcast(sieve_of(rows, 2, SHINGLE_BITS))
+    twice = spark.broadcast(sieve_of_repeated(rows))
 
     @F.pandas_udf("n int, tokens array<long>, places array<int>")
     def shared(texts: pd.Series, marks: pd.Series) -> pd.DataFrame:
         sizes, tokens, places = [], [], []
         for text, one in zip(texts, chosen.of(marks)):
             n, prefix = prefix_of(text, known.value) if one else (0, np.zeros(0, np.int64))
-            at = np.flatnonzero(may_hold(twice.value, prefix, SHINGLE_BITS))
+            at = np.flatnonzero(may_hold(twice.value, prefix))
             sizes.append(n)
             tokens.append(prefix[at])
             places.append(at.astype(np.int32))

@@ -173,3 +173,23 @@ def test_components_that_meet_only_across_stars_are_joined(spark):
     assert len({row.node for row in rows}) == len(rows)
     found = {row.node: row.root for row in rows}
     assert {value: found.get(value, value) for value in values} == want
+
+
+def test_the_sieve_of_repeated_hashes_is_filled_by_these_alone(spark):
+    from flowlens.llm import sieve
+
+    draw = np.random.default_rng(5)
+    hashes = np.unique(draw.integers(-(1 << 63), 1 << 63, 400_000, dtype=np.int64))
+    again, alone = hashes[::100], np.delete(hashes, np.s_[::100])
+    rows = spark.createDataFrame([(part.tolist(),) for part in [*np.array_split(hashes, 7), again, again[:9]]], "found array<long>")
+
+    def seen(batches):
+        yield from sieve.dealt_whole(np.array(found.as_py()) for batch in batches for found in batch["found"])
+
+    held = sieve.sieve_of_repeated(rows.mapInArrow(seen, "block int, buckets binary"))
+    assert len(held) == 1 << (sieve.LEAST_BITS - 3)
+    assert sieve.may_hold(held, again).all()
+    # As many buckets as hashes, and most of these would pass if each that occurs once marked its bucket.
+    assert sieve.may_hold(held, alone).mean() < 0.01
+    nothing = sieve.sieve_of_repeated(rows.where("false").mapInArrow(seen, "block int, buckets binary"))
+    assert not sieve.may_hold(nothing, hashes).any()
