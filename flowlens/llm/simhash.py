@@ -112,7 +112,11 @@ def block_masks(blocks: int = BLOCKS) -> list[int]:
 
 
 def _points(distinct: DataFrame, most: int, blocks: int) -> DataFrame:
-    """Each fingerprint once per grid: own (the grid), upto, cell and counts beside its columns."""
+    """Each fingerprint once per grid: own (the grid), upto, cell and counts beside its columns.
+
+    Spark sizes these rows as if there were one a fingerprint and not one a grid, so joins of
+    them name the merge join: they would else be sent to the driver and to all executors.
+    """
     if blocks <= most:
         raise ValueError("more groups of segments than differing bits are needed")
     masks = block_masks(blocks)
@@ -137,7 +141,7 @@ def star_links(distinct: DataFrame, most: int = MOST, blocks: int = BLOCKS) -> D
     points = _points(distinct.select("fp"), most, blocks)
     cells = points.groupBy("own", "cell").agg(F.min("fp").alias("b"), F.max("fp").alias("last"))
     cells = cells.where("b <> last").drop("last")
-    joined = points.join(cells, ["own", "cell"]).where(F.col("fp") != F.col("b"))
+    joined = points.join(cells.hint("merge"), ["own", "cell"]).where(F.col("fp") != F.col("b"))
     return joined.where(_near(F.col("fp"), F.col("b"), most)).select(F.col("fp").alias("a"), "b").distinct()
 
 
@@ -155,7 +159,7 @@ def _meetings(rooted: DataFrame, most: int, blocks: int) -> DataFrame:
         F.lit(0),
     )
     return a.join(
-        b,
+        b.hint("merge"),
         (F.col("a.own") == F.col("b.own"))
         & (F.col("a.cell") == F.col("b.cell"))
         & (F.col("a.fp") < F.col("b.fp"))
