@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from threading import Lock
 from typing import Protocol
 
@@ -45,6 +45,9 @@ class Node:
     configured: bool = False
     # A count of an input's write that ``build`` takes as ``largest``: (table, count).
     largest: tuple[str, str] | None = None
+    # The issue's column of each input that can be dealt by issue: the table of all issues is then
+    # that of some issues and that of the others, as no row is made of two issues.
+    issue_of: Mapping[str, str] = field(default_factory=dict)
 
 
 def node(
@@ -52,8 +55,14 @@ def node(
     needs: str,
     configured: bool = False,
     largest: tuple[str, str] | None = None,
+    issue_of: Mapping[str, str] | None = None,
 ) -> Node:
-    return Node(build, tuple(needs.split()), configured, largest)
+    return Node(build, tuple(needs.split()), configured, largest, issue_of or {})
+
+
+def of_slice(frame: DataFrame, column: str, number: int, slices: int) -> DataFrame:
+    """The rows of the issues that fall into one of the slices; rows without an issue are in one too."""
+    return frame.where(F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(slices)) == number)
 
 
 def heavy_keys(table: str, config: LayerConfig) -> dict[str, HeavyKey]:
@@ -131,17 +140,26 @@ GOLD = {
         "silver.resolution silver.user silver.epic_issue step.current_sprint gold.dim_sprint "
         "step.first_in_progress",
         configured=True,
+        issue_of={
+            "silver.issue": "id",
+            "silver.epic_issue": "issue_id",
+            "step.current_sprint": "issue_id",
+            "step.first_in_progress": "issue_id",
+        },
     ),
     "fct_issue_transitions": node(
         facts.fct_issue_transitions,
         "step.status_changes silver.issue silver.status silver.status_category",
+        issue_of={"step.status_changes": "issue_id", "silver.issue": "id"},
     ),
     "fct_sprint_velocity": node(
         facts.fct_sprint_velocity,
         "silver.sprint_issue silver.sprint silver.issue silver.board silver.project",
     ),
     "fct_worklog": node(
-        facts.fct_worklog, "silver.issue_worklog silver.issue silver.project silver.user"
+        facts.fct_worklog,
+        "silver.issue_worklog silver.issue silver.project silver.user",
+        issue_of={"silver.issue_worklog": "issue_id", "silver.issue": "id"},
     ),
     "agg_assignee_load": node(aggregates.agg_assignee_load, "gold.fct_issue"),
     "agg_project_health": node(aggregates.agg_project_health, "gold.fct_issue", configured=True),
@@ -226,19 +244,31 @@ class Pipeline:
     def _saved(self, key: str) -> DataFrame:
         layer, name = key.split(".")
         expectations = EXPECTATIONS.get(name, ()) if layer == "silver" else ()
+        slices = getattr(self.store, "slices", 1)
+        if slices > 1 and layer == "gold" and LAYERS[layer][name].issue_of:
+            first, *further = [self.frame(key, part=(number, slices)) for number in range(slices)]
+            return self.store.save(key, first, further=further)
         if not expectations:
             return self.store.save(key, self.frame(key))
         watch = Watch(name, expectations, heavy_keys(key, self.config))
         watched = enforce(watch.over(self.frame(key, checked=False)), name, expectations)
         return self.store.save(key, watched, watch.counts)
 
-    def frame(self, key: str, checked: bool = True) -> DataFrame:
-        """The lazy plan of one table over its inputs, with its row checks."""
+    def frame(self, key: str, checked: bool = True, part: tuple[int, int] | None = None) -> DataFrame:
+        """The lazy plan of one table over its inputs, with its row checks.
+
+        ``part`` is the number of a slice and how many there are: the rows of its issues only.
+        """
         layer, name = key.split(".")
         if layer == "bronze":
             return self.source.table(name)
         made = LAYERS[layer][name]
         inputs = self.tables(made.needs)
+        if part:
+            inputs = [
+                of_slice(frame, made.issue_of[need], *part) if need in made.issue_of else frame
+                for need, frame in zip(made.needs, inputs)
+            ]
         settings = [self.config] if made.configured else []
         if made.largest and self.store is not None:
             table, count = made.largest

@@ -31,6 +31,10 @@ LayerQuery = Callable[[MetricLayer], DataFrame]
 # changes, a worklog, a link and a member of sprints, components and versions.
 DERIVED = 8
 
+# The facts are written in one slice for each so many bytes of the sample, and in so many at most, as
+# each of them reads the facts' inputs anew: the shuffles of a slice are on disk, not those of the whole.
+SLICE_BYTES, MOST_SLICES = 64 * 1024**2, 4
+
 _workspaces: dict[tuple[str, str], MetricLayer] = {}
 
 
@@ -48,12 +52,16 @@ def workspace(spark: SparkSession, folder: str) -> MetricLayer:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
-        configure(spark, DERIVED * folder_bytes(spark, folder))
+        size = folder_bytes(spark, folder)
+        configure(spark, DERIVED * size)
         root = f"{shared_folder(spark)}/flowlens-{uuid.uuid4().hex}"
         atexit.register(_discard, spark, root)
         source = SampleSource(spark, folder)
         pipeline = Pipeline(
-            source, LayerConfig(as_of=SAMPLE_AS_OF), FolderStore(spark, root), landed=LANDED
+            source,
+            LayerConfig(as_of=SAMPLE_AS_OF),
+            FolderStore(spark, root, min(MOST_SLICES, 1 + size // SLICE_BYTES)),
+            landed=LANDED,
         )
         source.issues = lambda: pipeline.bronze("issues")
         _workspaces[key] = MetricLayer(pipeline)
