@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.llm import simhash
+from flowlens.llm.common import land, ship
 
 
 def broadcasts(frame):
@@ -34,3 +35,18 @@ def test_near_pairs_come_without_a_broadcast(spark, tmp_path):
     pairs = simhash.near_links(spark.read.parquet(f"{tmp_path}/fp"))
     assert not broadcasts(pairs)
     assert pairs.count() == 2000
+
+
+def test_near_dedup_sends_no_grid_rows_to_the_driver(spark, monkeypatch):
+    ship(spark)
+    plans = {}
+
+    def landed(frame, name):
+        plans[name] = frame._jdf.queryExecution().sparkPlan().toString()
+        return land(frame, name)
+
+    monkeypatch.setattr(simhash, "land", landed)
+    docs = spark.createDataFrame([(f"word{n} and other{n} words of text {n}",) for n in range(50)], "text string")
+    assert simhash.near_texts(docs).count() == 0
+    assert {"stars", "meetings"} <= set(plans)
+    assert not [name for name in ("stars", "meetings") if "BroadcastHashJoin" in plans[name]]
